@@ -1,0 +1,7 @@
+"""Streaming: the reference pipeline is batch only (no watermark, window,
+state or streaming source), so no streaming operator is built.
+
+The row-level steps (``clean_rows``, ``parse_doc_tags``, tokenizers) are pure
+column expressions and therefore run unchanged on a streaming DataFrame from
+``spark.readStream.text(path)``; ``tests/test_streaming.py`` checks that.
+"""
