@@ -40,24 +40,39 @@ FLOAT_BODY = (
 FLOAT_PATTERN = f"^{_WS}*({FLOAT_BODY}){_WS}*$"
 
 
-def strict_double(col: Column | str) -> Column:
-    """Parse text the way Python's ``float()`` does; NULL where it would raise.
+def float_body(col: Column | str) -> Column:
+    """The part of the text ``float()`` would parse, "_" removed; "" if none.
 
-    Known gap: Python also accepts non-ASCII decimal digits (e.g. Arabic-Indic);
-    this guard accepts ASCII digits only.
+    Computing this once per field and testing ``!= ""`` runs the pattern once
+    per value (see ``parse_float_body`` for the value itself).
     """
     c = F.col(col) if isinstance(col, str) else col
-    body = F.regexp_replace(F.regexp_extract(c, FLOAT_PATTERN, 1), "_", "")
-    low = F.lower(body)
+    return F.regexp_replace(F.regexp_extract(c, FLOAT_PATTERN, 1), "_", "")
+
+
+def parse_float_body(body: Column) -> Column:
+    """DOUBLE from a ``float_body`` result; NULL for "".
+
+    Spark's cast already reads every body the pattern admits as ``float()``
+    does (nan / inf / infinity in any case, overflow to inf), except signed
+    NaN, which it refuses.
+    """
     return (
-        F.when(c.isNull() | (body == ""), F.lit(None).cast("double"))
-        .when(low.isin("nan", "+nan", "-nan"), F.lit(float("nan")))
-        .when(low.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
-        .when(low.isin("-inf", "-infinity"), F.lit(float("-inf")))
+        F.when(body.isNull() | (body == ""), F.lit(None).cast("double"))
+        .when(F.lower(body).isin("+nan", "-nan"), F.lit(float("nan")))
         .otherwise(body.try_cast("double"))
     )
 
 
+def strict_double(col: Column | str) -> Column:
+    """Parse text the way Python's ``float()`` does; NULL where it would raise.
+
+    Known gap: Python also accepts non-ASCII decimal digits (e.g. Arabic-Indic);
+    this guard accepts ASCII digits only.
+    """
+    return parse_float_body(float_body(col))
+
+
 def is_float(col: Column | str) -> Column:
     """True where ``float(value)`` would succeed in Python."""
     c = F.col(col) if isinstance(col, str) else col

@@ -1,7 +1,7 @@
 """String column expressions: tokenizers, name labels and doc-tag slicing.
 
-Each returns a ``Column``; higher-order array functions (``filter``,
-``transform``) keep the per-row list work inside the JVM.
+Each returns a ``Column`` built from code-generated functions only: no Python
+UDF, and no lambda (``transform``/``filter`` are interpreted per element).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # The patterns and markers that must match the reference's text
 # handling exactly.
 NAME_STRIP_PATTERN = "[^A-Za-z0-9]+"   # removed from each blank-separated piece of a name
+NAME_STRIP_KEEP_BLANK = "[^A-Za-z0-9 ]+"  # the same, applied before splitting on the blank
 NON_LETTER_PATTERN = "[^a-zA-Z]"       # turned into blanks before lower-casing doc text
 DOC_ID_OPEN = 'id="'
 DOC_ID_CLOSE = '" url='
@@ -24,21 +25,25 @@ def _c(col: Column | str) -> Column:
 
 
 def name_word_array(col: Column | str) -> Column:
-    """Split a name on single blanks, strip non-alphanumerics, drop empties."""
-    pieces = F.split(_c(col), " ", -1)
-    cleaned = F.transform(pieces, lambda p: F.regexp_replace(p, NAME_STRIP_PATTERN, ""))
-    return F.filter(cleaned, lambda w: w != "")
+    """Split a name on single blanks, strip non-alphanumerics, drop empties.
+
+    Stripping everything but letters, digits and the blank first, then
+    splitting on the blank, gives the same pieces: the blank is never
+    stripped, so the split points do not move. No lambda: the whole chain is
+    built-in, code-generated functions.
+    """
+    kept = F.regexp_replace(_c(col), NAME_STRIP_KEEP_BLANK, "")
+    return F.array_remove(F.split(kept, " ", -1), "")
 
 
 def letter_token_array(col: Column | str) -> Column:
     """Non-letters to blanks, lower-case, split on runs of white space.
 
-    Splitting directly on runs of non-letters gives the same tokens in one
-    regex pass; each token is ASCII letters only, so lower-casing afterwards is
-    the same as lower-casing first.
+    After the replacement only ASCII letters and blanks are left, so
+    lower-casing is ASCII-only and empty pieces are the only ones to drop.
     """
-    parts = F.split(_c(col), NON_LETTER_PATTERN + "+", -1)
-    return F.filter(F.transform(parts, lambda t: F.lower(t)), lambda t: t != "")
+    letters = F.lower(F.regexp_replace(_c(col), NON_LETTER_PATTERN + "+", " "))
+    return F.array_remove(F.split(letters, " ", -1), "")
 
 
 def char_array(col: Column | str) -> Column:

@@ -1,7 +1,7 @@
 """Split delimited lines and keep the rows whose numeric fields all parse.
 
-One ``select`` + ``where`` over the scan: the split, the float guard and the
-projection fuse into a single whole-stage-codegen stage with no shuffle.
+Row-local column expressions over the scan: the split, the float guard and the
+projection fuse into one whole-stage-codegen stage with no shuffle.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfit.functions.numeric import is_float, strict_double
+from sparkfit.functions.numeric import float_body, parse_float_body
 
 # The 0-based positions of the fields of an app record that the
 # pipeline reads, and which of them must parse as floats for a row to be kept.
@@ -49,15 +49,27 @@ def clean_rows(lines: DataFrame, col: str = "value", sep: str = ",",
     Lines with too few fields are dropped rather than raising.
     """
     fields = F.split(F.col(col), _regex_literal(sep), -1)
-    parts = lines.select(fields.alias("_f"))
-    keep = F.lit(True)
-    for name in NUMERIC_FIELDS:
-        keep = keep & is_float(field(F.col("_f"), APP_FIELDS[name]))
-    out = parts.where(keep).select(
-        field(F.col("_f"), APP_FIELDS["app"]).alias("app"),
-        field(F.col("_f"), APP_FIELDS["name_text"]).alias("name_text"),
-        *[strict_double(field(F.col("_f"), APP_FIELDS[n])).alias(n) for n in NUMERIC_FIELDS],
+    f = F.col("_f")
+    # The float pattern runs once per numeric field ("" = not a float). The
+    # keep-test sits inside the generator, so the optimizer has no Filter to
+    # push below this projection and evaluate the pattern a second time.
+    rec = F.struct(
+        field(f, APP_FIELDS["app"]).alias("app"),
+        field(f, APP_FIELDS["name_text"]).alias("name_text"),
+        *[float_body(field(f, APP_FIELDS[n])).alias(f"_b_{n}") for n in NUMERIC_FIELDS],
     )
+
+    def all_floats(r: Column) -> Column:
+        ok = F.lit(True)
+        for n in NUMERIC_FIELDS:
+            ok = ok & F.coalesce(r[f"_b_{n}"] != "", F.lit(False))
+        return ok
+
+    kept = (lines.select(fields.alias("_f"))
+                 .select(F.explode(F.filter(F.array(rec), all_floats)).alias("_r"))
+                 .select("_r.*"))
+    out = kept.select(
+        "app", "name_text", *[parse_float_body(F.col(f"_b_{n}")).alias(n) for n in NUMERIC_FIELDS])
     if finite_only:
         finite = F.lit(True)
         for name in NUMERIC_FIELDS:

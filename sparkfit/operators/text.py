@@ -7,7 +7,7 @@ The vocabulary is bounded by K, which is what makes broadcasting it safe; past
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfit.functions.strings import char_array, letter_token_array, name_word_array
@@ -19,21 +19,36 @@ VOCAB_SIZE = 20000
 MAX_BROADCAST_VOCAB = 1_000_000
 
 
+def explode_items(df: DataFrame, keep: list, items: Column, name: str,
+                  pos_name: str | None = None) -> DataFrame:
+    """One row per array element (``keep`` columns repeated), empty arrays dropped.
+
+    ``explode_outer`` plus a NULL filter *above* the generator: with a plain
+    ``explode`` Spark infers ``size(array) > 0`` and pushes it down to the
+    scan, which evaluates the whole tokenizer once more there (and before any
+    repartition meant to spread that work).
+    """
+    if pos_name:
+        gen = F.posexplode_outer(items).alias(pos_name, name)
+    else:
+        gen = F.explode_outer(items).alias(name)
+    return df.select(*keep, gen).where(F.col(name).isNotNull())
+
+
 def name_words(df: DataFrame, name: str, distinct: bool = True) -> DataFrame:
     """(name, word): each name split on blanks, non-alphanumerics stripped,
     empty pieces dropped; repeated words in a name stay repeated."""
     names = df.select(F.col(name).alias("name"))
     if distinct:
         names = names.distinct()
-    return names.select("name", F.explode(name_word_array("name")).alias("word"))
+    return explode_items(names, ["name"], name_word_array("name"), "word")
 
 
 def doc_tokens(df: DataFrame, id_col: str, text_col: str, with_pos: bool = True) -> DataFrame:
     """(id, pos, token): letters-only lower-case tokens of each text, in order."""
     toks = letter_token_array(text_col)
-    if with_pos:
-        return df.select(F.col(id_col).alias("id"), F.posexplode(toks).alias("pos", "token"))
-    return df.select(F.col(id_col).alias("id"), F.explode(toks).alias("token"))
+    return explode_items(df, [F.col(id_col).alias("id")], toks, "token",
+                         "pos" if with_pos else None)
 
 
 def word_count(tokens: DataFrame, word: str = "token") -> DataFrame:
@@ -89,7 +104,7 @@ def char_frequency(df: DataFrame, id_col: str, text_col: str,
     are one-letter words of the vocabulary, which is what counting a string
     against a word list gives.
     """
-    chars = df.select(F.col(id_col).alias(id_col), F.explode(char_array(text_col)).alias("ch"))
+    chars = explode_items(df, [F.col(id_col)], char_array(text_col), "ch")
     if vocab is None:
         return chars.groupBy(id_col, "ch").agg(F.count("*").alias("tf"))
     known = lookup_vocab(chars.withColumnRenamed("ch", "word"), vocab, k)

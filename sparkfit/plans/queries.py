@@ -120,7 +120,8 @@ def q_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.corpus_counts(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    return text.corpus_counts(table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id"),
+                              "doc_id", "text")
 
 
 def q_name_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +129,7 @@ def q_name_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_tokens(spark: SparkSession, sf_dir: str, with_pos: bool = False) -> DataFrame:
-    return text.doc_tokens(table(spark, sf_dir, "documents", "doc_id", "text"),
+    return text.doc_tokens(table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id"),
                            "doc_id", "text", with_pos=with_pos)
 
 
@@ -162,7 +163,7 @@ def q_char_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_holdout_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id")
     train, test = hash_split(d, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
     vocab = text.vocabulary(text.word_count(text.doc_tokens(train, "doc_id", "text", False)),
                             text.VOCAB_SIZE)
@@ -197,12 +198,12 @@ def q_keyed_join_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_doc_tag_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread_key="doc_id"))
     return docs.parse_doc_tags(lines, keep=["src_id"])
 
 
 def q_doc_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread_key="doc_id"))
     parsed = docs.parse_doc_tags(lines).where(F.col("doc_id").isNotNull())
     words = parsed.select("doc_id", F.size(letter_token_array("text")).cast("bigint").alias("n_words"))
     return docs.sort_desc_positions(words, "doc_id")
@@ -270,7 +271,7 @@ def q_svm_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = labeled_docs(spark, sf_dir).select(
         "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("labels"))
     train, test = hash_split(lab, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
-    toks = train.select("doc_id", F.explode("tokens").alias("token"))
+    toks = text.explode_items(train, ["doc_id"], F.col("tokens"), "token")
     words = svm.vocab_words(text.vocabulary(text.word_count(toks), text.VOCAB_SIZE))
     model = svm.fit_svm(svm.tf_vectors(train, words), label="labels")
     scored = svm.evaluate_svm(model, svm.tf_vectors(test, words), label="labels")

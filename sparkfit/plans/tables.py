@@ -12,10 +12,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """One driver table; naming columns keeps the scan's ReadSchema narrow."""
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
+          spread_key: str | None = None) -> DataFrame:
+    """One driver table; naming columns keeps the scan's ReadSchema narrow.
+
+    ``spread_key``: for CPU-heavy row work (tokenizing text), see ``spread``.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return spread(df, spread_key) if spread_key else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan over the cluster's cores when it has fewer splits.
+
+    A small file in one row group scans as one task, so per-row work before
+    the first shuffle would run on one core. At scale the scan already has
+    many more splits than cores and this returns ``df`` unchanged (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 # The header line of the derived app-record file, and the way
@@ -78,6 +96,6 @@ def doc_lines(documents: DataFrame) -> DataFrame:
 
 def labeled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text, quality, toxic): documents that carry labels."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "inner")
