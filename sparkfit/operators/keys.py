@@ -3,13 +3,16 @@
 ``row_positions`` numbers rows 0..N-1 in a stated order without funnelling
 all rows through one task (which a global ``row_number()`` window does):
 
-1. range-partition on the order and sort within partitions;
-2. checkpoint, so partition contents and order are fixed on shared storage
-   (and survive a lost executor);
-3. count rows per partition: one small row per partition, prefix-summed;
-4. position = partition offset + row index inside the partition, read from
-   ``monotonically_increasing_id()`` (partition id in the upper 31 bits, row
-   index in the lower 33, as documented).
+1. range-partition on the order and sort within partitions (Spark samples
+   the keys to pick balanced ranges);
+2. tag each row with its range (partition id) and its index inside the
+   range, read from ``monotonically_increasing_id()`` (partition id in the
+   upper 31 bits, row index in the lower 33, as documented); the sort makes
+   that index the same on any retry;
+3. write the tagged rows to the shared scratch folder (one job; survives a
+   lost executor);
+4. count rows per range (one small row per range) and prefix-sum them;
+   position = offset of the range + index inside it.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfit.session import ensure_checkpoint_dir
+from sparkfit.session import write_table
 
 _ROW_BITS = 33
 
@@ -29,20 +32,20 @@ def row_positions(df: DataFrame, order: list[Column], pos_col: str = "pos",
     ``order`` must be a total order (end it with a unique column), so that a
     run of equal leading values can still be split across range partitions.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
-    fixed = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-    tagged = fixed.select("*", F.spark_partition_id().alias("_pid"),
-                          F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_pid").agg(F.count("*").alias("_n"))
+    pid = F.spark_partition_id().cast("bigint")
+    tagged = ranged.sortWithinPartitions(*order).select(
+        "*", pid.alias("_pid"),
+        (F.monotonically_increasing_id() - F.shiftleft(pid, _ROW_BITS)).alias("_local"))
+    fixed = write_table(tagged, "positions")
+    counts = fixed.groupBy("_pid").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _ROW_BITS)
-    # One offset row per partition: bounded by the partition count, safe to broadcast.
-    return (tagged.join(F.broadcast(offsets), "_pid")
-                  .withColumn(pos_col, (F.col("_off") + local).cast("bigint"))
-                  .drop("_pid", "_mid", "_off"))
+    # One offset row per range: bounded by the partition count, safe to broadcast.
+    return (fixed.join(F.broadcast(offsets), "_pid")
+                 .withColumn(pos_col, (F.col("_off") + F.col("_local")).cast("bigint"))
+                 .drop("_pid", "_local", "_off"))
 
 
 def key_index(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Logistic regression by batch gradient descent on long-form term frequencies.
 
 Data layout: ``examples`` = (id, y, idx, tf, head), hash-partitioned by id,
-sorted by (id, idx) and persisted once. A row with no known word keeps one
+sorted by (id, idx) and persisted for the duration of the fit. A row with no known word keeps one
 row with NULL idx so that it still scores 0. ``head`` marks one row per id.
 
 Each step is one pass over ``examples``:
@@ -11,9 +11,9 @@ Each step is one pass over ``examples``:
   partitioned and sorted by id, so the window adds no shuffle and no sort;
 * gradient sums per idx, plus loss and hits on ``head`` rows, come out of
   one ``groupBy(idx)`` that is combined map-side (K+1 rows leave each task);
-* the new weights, K rows, are checkpointed to shared storage, which cuts the
-  lineage each step, and one row of scalars (norms, loss, accuracy) decides
-  the early stop.
+* the new weights, K rows, are written as a table in the shared scratch
+  folder, which cuts the lineage each step in one job, and one row of
+  scalars (norms, loss, accuracy) read from it decides the early stop.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sparkfit.functions.numeric import log_loss, sigmoid, threshold
 from sparkfit.operators.text import MAX_BROADCAST_VOCAB
-from sparkfit.session import ensure_checkpoint_dir
+from sparkfit.session import write_table
 
 # The model's step size, step count, L2 factor, stop tolerance
 # and the spread of the random start.
@@ -47,7 +47,8 @@ class LogisticFit:
 
 def build_examples(tf: DataFrame, labels: DataFrame, id_col: str = "id",
                    label_col: str = "y") -> DataFrame:
-    """Persisted (id, y, idx, tf, head) table, one row per (id, known word)."""
+    """(id, y, idx, tf, head), one row per (id, known word); ``fit_logistic``
+    persists it for the duration of the fit."""
     lab = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
     feats = tf.select(F.col(id_col).alias("id"), F.col("idx").cast("int").alias("idx"),
                       F.col("tf").cast("double").alias("tf"))
@@ -55,8 +56,7 @@ def build_examples(tf: DataFrame, labels: DataFrame, id_col: str = "id",
              .repartition("id")
              .sortWithinPartitions("id", "idx"))
     first = Window.partitionBy("id").orderBy("idx")
-    ex = ex.withColumn("head", F.row_number().over(first) == 1)
-    return ex.persist(StorageLevel.MEMORY_AND_DISK)
+    return ex.withColumn("head", F.row_number().over(first) == 1)
 
 
 def start_weights(spark: SparkSession, k: int, init: float | None = None,
@@ -93,7 +93,15 @@ def fit_logistic(examples: DataFrame, k: int, rate: float = LOGIT_RATE,
     weights *before* the step.
     """
     spark = examples.sparkSession
-    ensure_checkpoint_dir(spark)
+    examples = examples.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _descend(spark, examples, k, rate, steps, l2, init, seed, tol)
+    finally:
+        examples.unpersist()
+
+
+def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, steps: int,
+             l2: float, init: float | None, seed: int, tol: float) -> LogisticFit:
     size = examples.where("head").count()
     n = F.lit(float(size))
     weights = start_weights(spark, k, init, seed)
@@ -110,10 +118,11 @@ def fit_logistic(examples: DataFrame, k: int, rate: float = LOGIT_RATE,
         )
         grad = F.coalesce(F.col("gsum"), F.lit(0.0)) / n
         moved = F.col("w") - F.lit(rate) * grad
-        step = (weights.join(per_idx, "idx", "full_outer")
-                       .select("idx", "loss_sum", "hits", grad.alias("g"), moved.alias("w_moved"),
-                               (moved - F.lit(2.0 * l2) * moved).alias("w_next"))
-                       .checkpoint(eager=True))
+        step = write_table(
+            weights.join(per_idx, "idx", "full_outer")
+                   .select("idx", "loss_sum", "hits", grad.alias("g"), moved.alias("w_moved"),
+                           (moved - F.lit(2.0 * l2) * moved).alias("w_next")),
+            f"logit-step{i}")
         known = F.col("idx").isNotNull()
         stats = step.agg(
             F.sqrt(F.sum(F.when(known, F.col("w_moved") * F.col("w_moved")))).alias("norm"),

@@ -8,6 +8,8 @@ that goes to the driver: MLlib models keep it there.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 
 from sparkfit.operators.metrics import multiclass_metrics
 
+# Rows of sparse TF vectors per partition while iterating (tens of MB).
+ROWS_PER_PARTITION = 50_000
+
 
 def vocab_words(vocab: DataFrame) -> list[str]:
     """Words of a (word, idx) vocabulary in idx order; at most K rows."""
@@ -29,16 +34,33 @@ def tf_vectors(df: DataFrame, words: list[str], tokens_col: str = "tokens",
     return model.transform(df)
 
 
+def sized_for_iteration(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION
+                        ) -> tuple[DataFrame, DataFrame]:
+    """Persist ``df``; return (persisted, view with ~``rows_per_partition`` rows
+    per partition).
+
+    Every optimiser step aggregates a dense gradient from every partition,
+    so many tiny partitions cost more than they compute. ``coalesce`` merges
+    partitions without a shuffle; a large input keeps one partition per
+    ``rows_per_partition`` rows. Unpersist the first item when done.
+    """
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = data.count()
+    current = data.rdd.getNumPartitions()
+    wanted = max(1, min(current, math.ceil(rows / rows_per_partition)))
+    return data, (data.coalesce(wanted) if wanted < current else data)
+
+
 def fit_svm(train: DataFrame, features: str = "features", label: str = "labels",
             **params) -> LinearSVCModel:
     """``LinearSVC`` with its defaults unless overridden (maxIter 100,
     regParam 0, tol 1e-6, standardization on, threshold 0)."""
-    data = train.select(features, F.col(label).cast("double").alias(label))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    cached, data = sized_for_iteration(
+        train.select(features, F.col(label).cast("double").alias(label)))
     try:
         return LinearSVC(featuresCol=features, labelCol=label, **params).fit(data)
     finally:
-        data.unpersist()
+        cached.unpersist()
 
 
 def evaluate_svm(model: LinearSVCModel, test: DataFrame, label: str = "labels") -> DataFrame:

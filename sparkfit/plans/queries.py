@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from sparkfit.functions.numeric import rounded
 from sparkfit.functions.strings import letter_token_array, prefix_label
 from sparkfit.operators import aggregate, clean, docs, keys, logistic, metrics, regression, svm, text
 from sparkfit.plans.tables import app_lines, doc_lines, labeled_docs, table
-from sparkfit.session import scratch_path
+from sparkfit.session import scratch_path, write_table
 from sparkfit.sources import hash_split, read_csv, read_lines, sample_exact, write_csv, write_lines
 
 # Fixed query parameters.
@@ -268,16 +269,23 @@ def q_multiclass_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_svm_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Tokenized labeled documents feed the vocabulary, the training vectors and
+    # the test vectors: persisted once, released once the metrics are written.
     lab = labeled_docs(spark, sf_dir).select(
-        "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("labels"))
-    train, test = hash_split(lab, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
-    toks = text.explode_items(train, ["doc_id"], F.col("tokens"), "token")
-    words = svm.vocab_words(text.vocabulary(text.word_count(toks), text.VOCAB_SIZE))
-    model = svm.fit_svm(svm.tf_vectors(train, words), label="labels")
-    scored = svm.evaluate_svm(model, svm.tf_vectors(test, words), label="labels")
-    return scored.select(F.col("n").alias("n_test"),
-                         rounded(F.col("accuracy"), 9).alias("accuracy"),
-                         rounded(F.col("weighted_f1"), 9).alias("weighted_f1"))
+        "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("labels")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, test = hash_split(lab, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
+        toks = text.explode_items(train, ["doc_id"], F.col("tokens"), "token")
+        words = svm.vocab_words(text.vocabulary(text.word_count(toks), text.VOCAB_SIZE))
+        model = svm.fit_svm(svm.tf_vectors(train, words), label="labels")
+        scored = svm.evaluate_svm(model, svm.tf_vectors(test, words), label="labels")
+        return write_table(scored.select(F.col("n").alias("n_test"),
+                                         rounded(F.col("accuracy"), 9).alias("accuracy"),
+                                         rounded(F.col("weighted_f1"), 9).alias("weighted_f1")),
+                           "svm-metrics")
+    finally:
+        lab.unpersist()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings for a single-machine run; a cluster run keeps its own defaults and
 # only needs AQE on (it is on by default since Spark 3.2).
@@ -32,6 +32,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -72,3 +73,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     return f"{checkpoint_base(spark)}/sparkfit-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared scratch folder and read it back.
+
+    Cuts lineage in one job: unlike ``DataFrame.checkpoint()``, which computes
+    the data once for its action and again to write the files (unless it was
+    persisted first). The files live on shared storage, so a lost executor
+    loses nothing.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
