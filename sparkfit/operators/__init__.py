@@ -7,6 +7,7 @@ from sparkfit.operators.keys import join_fanout, key_index, keyed_join, keyed_jo
 from sparkfit.operators.logistic import (LogisticFit, build_examples, fit_logistic, predict_logistic,
                                          score_rows, start_weights, top_coefficients)
 from sparkfit.operators.metrics import confusion_metrics, multiclass_metrics
+from sparkfit.operators.rows import explode_items, filter_late
 from sparkfit.operators.regression import (descent_trace, independent_descent_trace, moments,
                                            ols_fit)
 from sparkfit.operators.svm import evaluate_svm, fit_svm, tf_vectors, vocab_words
@@ -24,5 +25,5 @@ __all__ = [
     "LogisticFit", "build_examples", "start_weights", "score_rows", "fit_logistic",
     "predict_logistic", "top_coefficients",
     "confusion_metrics", "multiclass_metrics",
-    "vocab_words", "tf_vectors", "fit_svm", "evaluate_svm",
+    "vocab_words", "tf_vectors", "fit_svm", "evaluate_svm", "explode_items", "filter_late",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfit.functions.numeric import float_body, parse_float_body
+from sparkfit.operators.rows import filter_late
 
 # The 0-based positions of the fields of an app record that the
 # pipeline reads, and which of them must parse as floats for a row to be kept.
@@ -50,10 +51,9 @@ def clean_rows(lines: DataFrame, col: str = "value", sep: str = ",",
     """
     fields = F.split(F.col(col), _regex_literal(sep), -1)
     f = F.col("_f")
-    # The float pattern runs once per numeric field ("" = not a float). The
-    # keep-test sits inside the generator, so the optimizer has no Filter to
-    # push below this projection and evaluate the pattern a second time.
-    rec = F.struct(
+    # The float pattern runs once per numeric field ("" = not a float); the
+    # keep test runs late, so no pushed-down filter evaluates it again.
+    bodies = lines.select(fields.alias("_f")).select(
         field(f, APP_FIELDS["app"]).alias("app"),
         field(f, APP_FIELDS["name_text"]).alias("name_text"),
         *[float_body(field(f, APP_FIELDS[n])).alias(f"_b_{n}") for n in NUMERIC_FIELDS],
@@ -65,10 +65,7 @@ def clean_rows(lines: DataFrame, col: str = "value", sep: str = ",",
             ok = ok & F.coalesce(r[f"_b_{n}"] != "", F.lit(False))
         return ok
 
-    kept = (lines.select(fields.alias("_f"))
-                 .select(F.explode(F.filter(F.array(rec), all_floats)).alias("_r"))
-                 .select("_r.*"))
-    out = kept.select(
+    out = filter_late(bodies, all_floats).select(
         "app", "name_text", *[parse_float_body(F.col(f"_b_{n}")).alias(n) for n in NUMERIC_FIELDS])
     if finite_only:
         finite = F.lit(True)

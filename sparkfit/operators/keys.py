@@ -17,6 +17,7 @@ all rows through one task (which a global ``row_number()`` window does):
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +33,19 @@ def row_positions(df: DataFrame, order: list[Column], pos_col: str = "pos",
     ``order`` must be a total order (end it with a unique column), so that a
     run of equal leading values can still be split across range partitions.
     """
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
+    # Range partitioning reads its input twice (key sampling, then the
+    # shuffle); persisting keeps the upstream work to one run.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(num_partitions, *order) if num_partitions
+              else src.repartitionByRange(*order))
     pid = F.spark_partition_id().cast("bigint")
     tagged = ranged.sortWithinPartitions(*order).select(
         "*", pid.alias("_pid"),
         (F.monotonically_increasing_id() - F.shiftleft(pid, _ROW_BITS)).alias("_local"))
-    fixed = write_table(tagged, "positions")
+    try:
+        fixed = write_table(tagged, "positions")
+    finally:
+        src.unpersist()
     counts = fixed.groupBy("_pid").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

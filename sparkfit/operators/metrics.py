@@ -45,8 +45,8 @@ def multiclass_metrics(pred: DataFrame, label: str = "label",
     per_label = cm.groupBy(F.col("l").alias("cls")).agg(
         F.sum("c").alias("n_true"), F.sum(F.when(F.col("l") == F.col("p"), F.col("c"))).alias("tp"))
     per_pred = cm.groupBy(F.col("p").alias("cls")).agg(F.sum("c").alias("n_pred"))
-    # Both sides have one row per class: tiny whatever the data size.
-    cls = per_label.join(F.broadcast(per_pred), "cls", "left")
+    # One row per class on each side; AQE broadcasts it on measured size.
+    cls = per_label.join(per_pred, "cls", "left")
     tp = F.coalesce(F.col("tp"), F.lit(0)).cast("double")
     precision = F.coalesce(F.try_divide(tp, F.col("n_pred").cast("double")), F.lit(0.0))
     recall = F.try_divide(tp, F.col("n_true").cast("double"))

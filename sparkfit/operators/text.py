@@ -7,10 +7,11 @@ The vocabulary is bounded by K, which is what makes broadcasting it safe; past
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfit.functions.strings import char_array, letter_token_array, name_word_array
+from sparkfit.operators.rows import explode_items
 
 # Fixed value: the vocabulary size of both classifiers.
 VOCAB_SIZE = 20000
@@ -19,22 +20,6 @@ VOCAB_SIZE = 20000
 MAX_BROADCAST_VOCAB = 1_000_000
 
 
-def explode_items(df: DataFrame, keep: list, items: Column, name: str,
-                  pos_name: str | None = None) -> DataFrame:
-    """One row per array element (``keep`` columns repeated), empty arrays dropped.
-
-    ``explode_outer`` plus a NULL filter *above* the generator: with a plain
-    ``explode`` Spark infers ``size(array) > 0`` and pushes it down to the
-    scan, which evaluates the whole tokenizer once more there (and before any
-    repartition meant to spread that work).
-    """
-    if pos_name:
-        gen = F.posexplode_outer(items).alias(pos_name, name)
-    else:
-        gen = F.explode_outer(items).alias(name)
-    return df.select(*keep, gen).where(F.col(name).isNotNull())
-
-
 def name_words(df: DataFrame, name: str, distinct: bool = True) -> DataFrame:
     """(name, word): each name split on blanks, non-alphanumerics stripped,
     empty pieces dropped; repeated words in a name stay repeated."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sparkfit.functions.numeric import rounded
 from sparkfit.functions.strings import letter_token_array, prefix_label
 from sparkfit.operators import aggregate, clean, docs, keys, logistic, metrics, regression, svm, text
+from sparkfit.operators.rows import explode_items, filter_late
 from sparkfit.plans.tables import app_lines, doc_lines, labeled_docs, table
 from sparkfit.session import scratch_path, write_table
 from sparkfit.sources import hash_split, read_csv, read_lines, sample_exact, write_csv, write_lines
@@ -205,7 +206,7 @@ def q_doc_tag_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_doc_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread_key="doc_id"))
-    parsed = docs.parse_doc_tags(lines).where(F.col("doc_id").isNotNull())
+    parsed = filter_late(docs.parse_doc_tags(lines), lambda r: r["doc_id"].isNotNull())
     words = parsed.select("doc_id", F.size(letter_token_array("text")).cast("bigint").alias("n_words"))
     return docs.sort_desc_positions(words, "doc_id")
 
@@ -276,7 +277,7 @@ def q_svm_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, test = hash_split(lab, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
-        toks = text.explode_items(train, ["doc_id"], F.col("tokens"), "token")
+        toks = explode_items(train, ["doc_id"], F.col("tokens"), "token")
         words = svm.vocab_words(text.vocabulary(text.word_count(toks), text.VOCAB_SIZE))
         model = svm.fit_svm(svm.tf_vectors(train, words), label="labels")
         scored = svm.evaluate_svm(model, svm.tf_vectors(test, words), label="labels")
