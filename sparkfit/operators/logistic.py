@@ -102,12 +102,14 @@ def fit_logistic(examples: DataFrame, k: int, rate: float = LOGIT_RATE,
 
 def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, steps: int,
              l2: float, init: float | None, seed: int, tol: float) -> LogisticFit:
-    size = examples.where("head").count()
-    n = F.lit(float(size))
     weights = start_weights(spark, k, init, seed)
     prev_norm = 0.0
     history = []
     stopped = False
+    size = 0
+    # The example count comes out of each step's aggregation (head rows),
+    # summed over the at most K+1 per-word rows: no separate counting pass.
+    everything = Window.partitionBy()
     for i in range(steps):
         scored = score_rows(examples, weights, k)
         y, p = F.col("y"), F.col("p")
@@ -115,21 +117,27 @@ def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, step
             F.sum((p - y) * F.col("tf")).alias("gsum"),
             F.sum(F.when(F.col("head"), log_loss(y, p))).alias("loss_sum"),
             F.sum(F.when(F.col("head"), (threshold(p).cast("double") == y).cast("int"))).alias("hits"),
+            F.count_if(F.col("head")).alias("heads"),
         )
+        n = F.col("n")
         grad = F.coalesce(F.col("gsum"), F.lit(0.0)) / n
         moved = F.col("w") - F.lit(rate) * grad
         step = write_table(
             weights.join(per_idx, "idx", "full_outer")
-                   .select("idx", "loss_sum", "hits", grad.alias("g"), moved.alias("w_moved"),
+                   .withColumn("n", F.sum(F.coalesce(F.col("heads"), F.lit(0))).over(everything)
+                               .cast("double"))
+                   .select("idx", "loss_sum", "hits", "n", grad.alias("g"), moved.alias("w_moved"),
                            (moved - F.lit(2.0 * l2) * moved).alias("w_next")),
             f"logit-step{i}")
         known = F.col("idx").isNotNull()
         stats = step.agg(
             F.sqrt(F.sum(F.when(known, F.col("w_moved") * F.col("w_moved")))).alias("norm"),
             F.sqrt(F.sum(F.when(known, F.col("g") * F.col("g")))).alias("grad_norm"),
-            (F.coalesce(F.sum("loss_sum"), F.lit(0.0)) / n).alias("loss"),
-            (F.coalesce(F.sum("hits"), F.lit(0)).cast("double") / n).alias("acc"),
+            (F.coalesce(F.sum("loss_sum"), F.lit(0.0)) / F.max("n")).alias("loss"),
+            (F.coalesce(F.sum("hits"), F.lit(0)).cast("double") / F.max("n")).alias("acc"),
+            F.max("n").alias("n"),
         ).first()
+        size = int(stats["n"] or 0)
         norm = float(stats["norm"] or 0.0)
         if abs(norm - prev_norm) < tol:
             weights = step.where(known).select("idx", F.col("w_moved").alias("w"))

@@ -86,4 +86,5 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading it back from the files would cost a job.
+    return spark.read.schema(df.schema).parquet(path)
