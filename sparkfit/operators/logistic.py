@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sparkfit.functions.numeric import log_loss, sigmoid, threshold
 from sparkfit.operators.text import MAX_BROADCAST_VOCAB
-from sparkfit.session import write_table
+from sparkfit.session import drop_table, write_table
 
 # The model's step size, step count, L2 factor, stop tolerance
 # and the spread of the random start.
@@ -110,6 +110,7 @@ def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, step
     # The example count comes out of each step's aggregation (head rows),
     # summed over the at most K+1 per-word rows: no separate counting pass.
     everything = Window.partitionBy()
+    previous = None
     for i in range(steps):
         scored = score_rows(examples, weights, k)
         y, p = F.col("y"), F.col("p")
@@ -129,6 +130,9 @@ def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, step
                    .select("idx", "loss_sum", "hits", "n", grad.alias("g"), moved.alias("w_moved"),
                            (moved - F.lit(2.0 * l2) * moved).alias("w_next")),
             f"logit-step{i}")
+        if previous is not None:
+            drop_table(previous)        # superseded: the new weights come from `step`
+        previous = step
         known = F.col("idx").isNotNull()
         stats = step.agg(
             F.sqrt(F.sum(F.when(known, F.col("w_moved") * F.col("w_moved")))).alias("norm"),

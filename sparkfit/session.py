@@ -81,10 +81,23 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage in one job: unlike ``DataFrame.checkpoint()``, which computes
     the data once for its action and again to write the files (unless it was
     persisted first). The files live on shared storage, so a lost executor
-    loses nothing.
+    loses nothing. ``drop_table`` removes them once nothing reads them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     # The schema is known: reading it back from the files would cost a job.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files behind a ``write_table`` result (no-op for others)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for location in df.inputFiles():
+        folder = jvm.org.apache.hadoop.fs.Path(location).getParent()
+        if "/sparkfit-scratch/" not in folder.toString():
+            continue
+        folder.getFileSystem(conf).delete(folder, True)
+        break
