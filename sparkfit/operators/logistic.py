@@ -83,16 +83,19 @@ def score_rows(examples: DataFrame, weights: DataFrame, k: int) -> DataFrame:
 def fit_logistic(examples: DataFrame, k: int, rate: float = LOGIT_RATE,
                  steps: int = LOGIT_STEPS, l2: float = LOGIT_L2,
                  init: float | None = None, seed: int = 7,
-                 tol: float = LOGIT_STOP_TOL) -> LogisticFit:
+                 tol: float = LOGIT_STOP_TOL, persist: bool = True) -> LogisticFit:
     """Batch descent with the step rule:
 
     w <- w - rate * grad;  stop if | ||w|| - ||w_prev|| | < tol (this step is
     then left out of the history and not shrunk);  w <- w - 2*l2*w.
 
     History rows hold accuracy, loss and gradient norm measured with the
-    weights *before* the step.
+    weights *before* the step. ``persist=False`` when the caller already keeps
+    ``examples`` persisted (e.g. to score them after the fit).
     """
     spark = examples.sparkSession
+    if not persist:
+        return _descend(spark, examples, k, rate, steps, l2, init, seed, tol)
     examples = examples.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _descend(spark, examples, k, rate, steps, l2, init, seed, tol)

@@ -240,9 +240,21 @@ def q_logit_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
         "idx", "word", rounded(F.col("w"), 10).alias("w"))
 
 
+def _logit_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-document predictions of the fitted model, written to the shared
+    folder while the examples are still persisted (no second pass over the
+    documents to rebuild them)."""
+    ex, _ = _logit_inputs(spark, sf_dir)
+    ex = ex.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fit = logistic.fit_logistic(ex, LOGIT_VOCAB, init=LOGIT_INIT, persist=False)
+        return write_table(logistic.predict_logistic(ex, fit.weights, LOGIT_VOCAB), "logit-pred")
+    finally:
+        ex.unpersist()
+
+
 def q_logit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex, _, fit = _logit_fit(spark, sf_dir)
-    pred = logistic.predict_logistic(ex, fit.weights, LOGIT_VOCAB)
+    pred = _logit_predictions(spark, sf_dir)
     return pred.select(F.col("id").alias("doc_id"), "y", rounded(F.col("p"), 9).alias("p"), "pred")
 
 
@@ -253,9 +265,7 @@ def q_top_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex, _, fit = _logit_fit(spark, sf_dir)
-    pred = logistic.predict_logistic(ex, fit.weights, LOGIT_VOCAB)
-    m = metrics.confusion_metrics(pred, "y", "pred")
+    m = metrics.confusion_metrics(_logit_predictions(spark, sf_dir), "y", "pred")
     return m.select(rounded(F.col("acc"), 9).alias("acc"), "tp", "fp", "fn", "tn",
                     rounded(F.col("f1"), 9).alias("f1"))
 
