@@ -33,10 +33,10 @@ def test_vocabulary_lookup_is_a_broadcast_join(spark):
 
 def test_float_pattern_evaluated_once_per_field(spark):
     txt = plan_of(Q.q_split_clean(spark, SF_SMALL))
-    branches = txt.count("Generate ")          # header row and table rows are a union
-    assert branches >= 1
+    branches = 2 if "Union" in txt else 1     # header row and table rows are a union
     assert txt.count("regexp_extract(") == 5 * branches
-    assert "Filter" not in txt
+    below = txt[txt.index("Generate"):]       # the keep test runs in (and above) the generator
+    assert "Filter" not in below
 
 
 def test_tokenizer_not_pushed_below_spreading_shuffle(spark):
