@@ -11,13 +11,18 @@ Each step is one pass over ``examples``:
   partitioned and sorted by id, so the window adds no shuffle and no sort;
 * gradient sums per idx, plus loss and hits on ``head`` rows, come out of
   one ``groupBy(idx)`` that is combined map-side (K+1 rows leave each task);
-* the new weights, K rows, are written as a table in the shared scratch
-  folder, which cuts the lineage each step in one job, and one row of
-  scalars (norms, loss, accuracy) read from it decides the early stop.
+  the current weights join that same aggregation through a union, so the
+  step needs no join;
+* the per-word sums, K+1 rows, are written as a table in the shared scratch
+  folder, which cuts the lineage each step in one job; one row of plain sums
+  read from it gives loss, accuracy, the gradient norm and the norm of the
+  moved weights (for the early stop); the next weights are a projection of
+  that table.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -110,49 +115,53 @@ def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, step
     history = []
     stopped = False
     size = 0
-    # The example count comes out of each step's aggregation (head rows),
-    # summed over the at most K+1 per-word rows: no separate counting pass.
-    everything = Window.partitionBy()
     previous = None
+    y, p, head = F.col("y"), F.col("p"), F.col("head")
+    none = F.lit(None).cast("double")
     for i in range(steps):
         scored = score_rows(examples, weights, k)
-        y, p = F.col("y"), F.col("p")
-        per_idx = scored.groupBy("idx").agg(
-            F.sum((p - y) * F.col("tf")).alias("gsum"),
-            F.sum(F.when(F.col("head"), log_loss(y, p))).alias("loss_sum"),
-            F.sum(F.when(F.col("head"), (threshold(p).cast("double") == y).cast("int"))).alias("hits"),
-            F.count_if(F.col("head")).alias("heads"),
-        )
-        n = F.col("n")
-        grad = F.coalesce(F.col("gsum"), F.lit(0.0)) / n
-        moved = F.col("w") - F.lit(rate) * grad
+        # Per-row contributions and the current weights go through one
+        # groupBy(idx): a single map-side-combined shuffle, no join.
+        contrib = scored.select(
+            "idx", none.alias("w_old"), ((p - y) * F.col("tf")).alias("g"),
+            F.when(head, log_loss(y, p)).alias("loss"),
+            F.when(head, (threshold(p).cast("double") == y).cast("double")).alias("hit"),
+            head.cast("long").alias("head"))
+        current = weights.select("idx", F.col("w").alias("w_old"), none.alias("g"), none.alias("loss"),
+                                 none.alias("hit"), F.lit(0).cast("long").alias("head"))
         step = write_table(
-            weights.join(per_idx, "idx", "full_outer")
-                   .withColumn("n", F.sum(F.coalesce(F.col("heads"), F.lit(0))).over(everything)
-                               .cast("double"))
-                   .select("idx", "loss_sum", "hits", "n", grad.alias("g"), moved.alias("w_moved"),
-                           (moved - F.lit(2.0 * l2) * moved).alias("w_next")),
+            contrib.unionByName(current).groupBy("idx").agg(
+                F.max("w_old").alias("w_old"), F.sum("g").alias("gsum"),
+                F.sum("loss").alias("loss_sum"), F.sum("hit").alias("hits"),
+                F.sum("head").alias("heads")),
             f"logit-step{i}")
         if previous is not None:
             drop_table(previous)        # superseded: the new weights come from `step`
         previous = step
         known = F.col("idx").isNotNull()
-        stats = step.agg(
-            F.sqrt(F.sum(F.when(known, F.col("w_moved") * F.col("w_moved")))).alias("norm"),
-            F.sqrt(F.sum(F.when(known, F.col("g") * F.col("g")))).alias("grad_norm"),
-            (F.coalesce(F.sum("loss_sum"), F.lit(0.0)) / F.max("n")).alias("loss"),
-            (F.coalesce(F.sum("hits"), F.lit(0)).cast("double") / F.max("n")).alias("acc"),
-            F.max("n").alias("n"),
+        g = F.coalesce(F.col("gsum"), F.lit(0.0))
+        # ||w - a*g||^2 = Sww - 2a*Swg + a^2*Sgg, with a = rate/n: one pass of plain sums.
+        s = step.agg(
+            F.sum("heads").alias("n"), F.sum("loss_sum").alias("loss_sum"),
+            F.sum("hits").alias("hits"),
+            F.sum(F.when(known, F.col("w_old") * F.col("w_old"))).alias("sww"),
+            F.sum(F.when(known, F.col("w_old") * g)).alias("swg"),
+            F.sum(F.when(known, g * g)).alias("sgg"),
         ).first()
-        size = int(stats["n"] or 0)
-        norm = float(stats["norm"] or 0.0)
+        size = int(s["n"] or 0)
+        if size == 0:
+            raise ValueError("fit_logistic: no examples")
+        a = rate / size
+        norm = math.sqrt(max((s["sww"] or 0.0) - 2 * a * (s["swg"] or 0.0) + a * a * (s["sgg"] or 0.0), 0.0))
+        moved = F.col("w_old") - F.lit(rate) * g / F.lit(float(size))
         if abs(norm - prev_norm) < tol:
-            weights = step.where(known).select("idx", F.col("w_moved").alias("w"))
+            weights = step.where(known).select("idx", moved.alias("w"))
             stopped = True
             break
         prev_norm = norm
-        weights = step.where(known).select("idx", F.col("w_next").alias("w"))
-        history.append((i, float(stats["loss"]), float(stats["acc"]), float(stats["grad_norm"] or 0.0)))
+        weights = step.where(known).select("idx", (moved - F.lit(2.0 * l2) * moved).alias("w"))
+        history.append((i, (s["loss_sum"] or 0.0) / size, (s["hits"] or 0.0) / size,
+                        math.sqrt(s["sgg"] or 0.0) / size))
     trace = spark.createDataFrame(
         history, "iteration INT, loss DOUBLE, acc DOUBLE, grad_norm DOUBLE")
     return LogisticFit(weights=weights, trace=trace, size=size, stopped_early=stopped)
