@@ -30,8 +30,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     the first shuffle would run on one core. At scale the scan already has
     many more splits than cores and this returns ``df`` unchanged (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:           # no JVM handles (e.g. a remote session): leave as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, key)
 

@@ -42,32 +42,37 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:           # sessions without a local JVM context
+        return None
 
 
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (set only if unset, locally)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
-        if not _is_local(spark):
-            raise ValueError(
-                "spark.checkpoint.dir is not set; point it at a folder every "
-                "executor can reach (HDFS, S3, ...) before running sparkfit jobs")
-        base = tempfile.mkdtemp(prefix="sparkfit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    if sc is None or not sc.master.startswith("local"):
+        raise ValueError(
+            "spark.checkpoint.dir is not set; point it at a folder every "
+            "executor can reach (HDFS, S3, ...) before running sparkfit jobs")
+    base = tempfile.mkdtemp(prefix="sparkfit-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", base)
+    return base
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has somewhere shared to write."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(checkpoint_base(spark))
-    return sc.getCheckpointDir()
+    """Resolve the shared folder once, and hand it to the context's checkpoints."""
+    base = checkpoint_base(spark)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
+    return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -91,13 +96,18 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_table(df: DataFrame) -> None:
-    """Delete the files behind a ``write_table`` result (no-op for others)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for location in df.inputFiles():
-        folder = jvm.org.apache.hadoop.fs.Path(location).getParent()
-        if "/sparkfit-scratch/" not in folder.toString():
-            continue
-        folder.getFileSystem(conf).delete(folder, True)
-        break
+    """Delete the files behind a ``write_table`` result (no-op for others).
+
+    Best effort: scratch space is only reclaimed early; nothing depends on it.
+    """
+    try:
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for location in df.inputFiles():
+            folder = jvm.org.apache.hadoop.fs.Path(location).getParent()
+            if "/sparkfit-scratch/" in folder.toString():
+                folder.getFileSystem(conf).delete(folder, True)
+                break
+    except Exception:
+        pass
