@@ -99,7 +99,10 @@ def doc_lines(documents: DataFrame) -> DataFrame:
 
 
 def labeled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text, quality, toxic): documents that carry labels."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id")
+    """(doc_id, text, quality, toxic): documents that carry labels.
+
+    Joined first, then spread, so only labeled text moves when spreading.
+    """
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
-    return docs.join(labels, "doc_id", "inner")
+    return spread(docs.join(labels, "doc_id", "inner"), "doc_id")
