@@ -18,6 +18,7 @@ DOC_ID_OPEN = 'id="'
 DOC_ID_CLOSE = '" url='
 DOC_BODY_OPEN = '">'
 DOC_TAIL_LEN = 6                       # length of the closing "</doc>"
+POSITIVE_PREFIX = "AU"                 # a name starting with these two letters is class 1
 
 
 def _c(col: Column | str) -> Column:
@@ -51,7 +52,7 @@ def char_array(col: Column | str) -> Column:
     return F.split(_c(col), "", -1)
 
 
-def prefix_label(col: Column | str, prefix: str) -> Column:
+def prefix_label(col: Column | str, prefix: str = POSITIVE_PREFIX) -> Column:
     """1 when the value starts with ``prefix`` (case-sensitive), else 0.
 
     Short or empty values give 0 instead of raising.

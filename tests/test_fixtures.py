@@ -153,3 +153,10 @@ def test_char_frequency_against_vocabulary(spark):
     vocab = spark.createDataFrame([("a", 0), ("zz", 1), ("c", 2)], "word STRING, idx INT")
     got = sorted(tuple(r) for r in char_frequency(df, "id", "s", vocab).collect())
     assert got == [(1, 0, 2), (1, 2, 1)]
+
+
+def test_prefix_label_default_and_short_names(spark):
+    from sparkfit.functions import prefix_label
+    df = spark.createDataFrame([("AUX",), ("Aux",), ("",), ("A",), (None,), ("AU",)], "n STRING")
+    got = [r["l"] for r in df.select(prefix_label("n").alias("l")).collect()]
+    assert got == [1, 0, 0, 0, 0, 1]
