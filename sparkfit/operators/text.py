@@ -96,7 +96,7 @@ def char_frequency(df: DataFrame, id_col: str, text_col: str,
     return known.groupBy(id_col, "idx").agg(F.count("*").alias("tf"))
 
 
-def corpus_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def corpus_counts(df: DataFrame, text_col: str) -> DataFrame:
     """One row: rows, tokens, distinct words, in one aggregation.
 
     ``posexplode_outer`` keeps token-less rows (pos NULL), so every input row

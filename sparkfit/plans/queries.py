@@ -123,7 +123,7 @@ def q_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.corpus_counts(table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id"),
-                              "doc_id", "text")
+                              "text")
 
 
 def q_name_words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,7 +77,7 @@ def app_lines(part: DataFrame) -> DataFrame:
              F.col("p_type"), _s("p_partkey"), size]
     line = F.when(F.col("p_brand") == SHORT_LINE_BRAND, F.concat_ws(",", *head8)) \
         .otherwise(F.concat_ws(",", *head8, F.col("p_brand"), price))
-    header = part.sparkSession.createDataFrame([(APP_HEADER,)], "value STRING")
+    header = part.sparkSession.range(1).select(F.lit(APP_HEADER).alias("value"))
     return header.unionByName(part.select(line.alias("value")))
 
 
