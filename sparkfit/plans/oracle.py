@@ -182,7 +182,7 @@ def _sql() -> dict[str, str]:
     return {
         "text_scan": f"WITH {_app_lines_cte()} SELECT value FROM lines",
         "split_clean": f"WITH {cleaned} SELECT * FROM cleaned",
-        "project_cast": f"WITH {cleaned} SELECT app, rating, max_install FROM cleaned",
+        "project_cast": f"WITH {cleaned} SELECT app, min_install, rating, max_install FROM cleaned",
         "csv_roundtrip": f"SELECT {part_cols}, p_name || ', ' || p_brand AS label_text FROM part",
         "sample_exact": (f"SELECT {part_cols} FROM part ORDER BY "
                          f"md5(concat_ws(':', '{Q.SAMPLE_SEED}', CAST(p_partkey AS VARCHAR))) LIMIT {Q.SAMPLE_N}"),

@@ -49,7 +49,9 @@ def q_split_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_project_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean.clean_rows(app_lines(table(spark, sf_dir, "part", *ALL_PART)))
-    return clean.project_pairs(rows, "app", ["rating", "max_install"])
+    # min_install carries the part key: it keeps rows distinct ahead of the
+    # NaN-bearing rating column when results are sorted for comparison.
+    return clean.project_pairs(rows, "app", ["min_install", "rating", "max_install"])
 
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
