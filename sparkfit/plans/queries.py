@@ -214,30 +214,41 @@ def q_doc_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _logit_inputs(spark: SparkSession, sf_dir: str):
-    lab = labeled_docs(spark, sf_dir)
-    toks = text.doc_tokens(lab, "doc_id", "text", with_pos=False)
-    vocab = text.vocabulary(text.word_count(toks), LOGIT_VOCAB)
+    """(examples, vocabulary table, tokenized labeled docs).
+
+    The tokenized labeled documents feed both the vocabulary and the term
+    frequencies, so they are persisted (the caller releases them once the
+    examples are consumed); the K-row vocabulary is written as a table so
+    nothing downstream depends on the text lineage.
+    """
+    lab = labeled_docs(spark, sf_dir).select(
+        "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("y")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    toks = explode_items(lab, [F.col("doc_id").alias("id")], F.col("tokens"), "token")
+    vocab = write_table(text.vocabulary(text.word_count(toks), LOGIT_VOCAB), "logit-vocab")
     tf = text.term_frequency(toks, vocab, LOGIT_VOCAB)
-    ex = logistic.build_examples(tf, lab.select(F.col("doc_id").alias("id"),
-                                                F.col("quality").alias("y")))
-    return ex, vocab
+    ex = logistic.build_examples(tf, lab.select(F.col("doc_id").alias("id"), "y"))
+    return ex, vocab, lab
 
 
 def _logit_fit(spark: SparkSession, sf_dir: str):
-    ex, vocab = _logit_inputs(spark, sf_dir)
-    fit = logistic.fit_logistic(ex, LOGIT_VOCAB, init=LOGIT_INIT)
-    return ex, vocab, fit
+    ex, vocab, lab = _logit_inputs(spark, sf_dir)
+    try:
+        fit = logistic.fit_logistic(ex, LOGIT_VOCAB, init=LOGIT_INIT)
+    finally:
+        lab.unpersist()
+    return vocab, fit
 
 
 def q_logit_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, fit = _logit_fit(spark, sf_dir)
+    _, fit = _logit_fit(spark, sf_dir)
     return fit.trace.select("iteration", rounded(F.col("loss"), 9).alias("loss"),
                             rounded(F.col("acc"), 9).alias("acc"),
                             rounded(F.col("grad_norm"), 9).alias("grad_norm"))
 
 
 def q_logit_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, vocab, fit = _logit_fit(spark, sf_dir)
+    vocab, fit = _logit_fit(spark, sf_dir)
     return fit.weights.join(vocab.select("word", "idx"), "idx").select(
         "idx", "word", rounded(F.col("w"), 10).alias("w"))
 
@@ -246,13 +257,14 @@ def _logit_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-document predictions of the fitted model, written to the shared
     folder while the examples are still persisted (no second pass over the
     documents to rebuild them)."""
-    ex, _ = _logit_inputs(spark, sf_dir)
+    ex, _, lab = _logit_inputs(spark, sf_dir)
     ex = ex.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fit = logistic.fit_logistic(ex, LOGIT_VOCAB, init=LOGIT_INIT, persist=False)
         return write_table(logistic.predict_logistic(ex, fit.weights, LOGIT_VOCAB), "logit-pred")
     finally:
         ex.unpersist()
+        lab.unpersist()
 
 
 def q_logit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +273,7 @@ def q_logit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_top_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, vocab, fit = _logit_fit(spark, sf_dir)
+    vocab, fit = _logit_fit(spark, sf_dir)
     w = fit.weights.select("idx", rounded(F.col("w"), 10).alias("w"))
     return logistic.top_coefficients(w, vocab, 5)
 
