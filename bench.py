@@ -29,13 +29,16 @@ def main() -> None:
     # the timings, so the first key is not charged for JVM start-up.
     warm = spark.read.parquet(f"{sf_dir}/region.parquet")
     warm.groupBy().count().write.format("noop").mode("overwrite").save()
-    times = {}
+    times, errors = {}, {}
     for key, fn in QUERIES.items():
         if only and key not in only:
             continue
         t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[key] = round(time.perf_counter() - t0, 3)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[key] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:          # report and keep timing the other keys
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.stop()
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
@@ -45,6 +48,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
 
 
