@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from sparkfit.functions import strict_double
+from sparkfit.functions import is_float, strict_double
 from sparkfit.operators import (build_examples, confusion_metrics, descent_trace, entity_features,
                                 fit_logistic, independent_descent_trace, join_fanout,
                                 multiclass_metrics, ols_fit, predict_logistic, row_positions)
@@ -203,12 +203,14 @@ FLOAT_ALPHABET = st.sampled_from(list("0123456789_.eE+- \tnaifNAIFtyxd"))
 @given(st.lists(st.text(FLOAT_ALPHABET, max_size=8), min_size=1, max_size=30))
 def test_strict_double_equals_float_on_random_text(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s STRING")
-    got = [r["d"] for r in df.select(strict_double("s").alias("d")).collect()]
-    for t, g in zip(texts, got):
+    rows = df.select(strict_double("s").alias("d"), is_float("s").alias("ok")).collect()
+    got = [r["d"] for r in rows]
+    for t, g, ok in zip(texts, got, [r["ok"] for r in rows]):
         try:
             want = float(t)
         except ValueError:
             want = None
+        assert ok == (want is not None), t
         if want is None:
             assert g is None, t
         elif math.isnan(want):
