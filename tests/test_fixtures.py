@@ -160,3 +160,15 @@ def test_prefix_label_default_and_short_names(spark):
     df = spark.createDataFrame([("AUX",), ("Aux",), ("",), ("A",), (None,), ("AU",)], "n STRING")
     got = [r["l"] for r in df.select(prefix_label("n").alias("l")).collect()]
     assert got == [1, 0, 0, 0, 0, 1]
+
+
+def test_split_fields_is_naive(spark):
+    from sparkfit.operators import split_fields
+    df = lines_df(spark, ['a,"b,c",,d'])
+    assert split_fields(df).collect()[0]["fields"] == ["a", '"b', 'c"', "", "d"]
+
+
+def test_finite_only_drops_nan_and_inf(spark):
+    out = clean_rows(lines_df(spark, [rec("A1"), rec("A2", r="NaN"), rec("A3", pr="-inf")]),
+                     finite_only=True).collect()
+    assert [r["app"] for r in out] == ["A1"]
