@@ -6,17 +6,14 @@ code generation; none of them is a Python UDF.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _whitespace_class() -> str:
-    """Regex class of the characters Python's ``str.strip()`` removes.
-
-    Derived from Python's own ``str.isspace`` rule, so the guard below trims
-    exactly what ``float()`` trims. Ranges are merged to keep the class short.
-    """
-    codes = [c for c in range(0x110000) if chr(c).isspace()]
+def _char_class(codes: list[int]) -> str:
+    """Regex class for a set of code points, consecutive runs merged."""
     runs, start, prev = [], codes[0], codes[0]
     for c in codes[1:]:
         if c != prev + 1:
@@ -28,7 +25,15 @@ def _whitespace_class() -> str:
     return "[" + "".join(parts) + "]"
 
 
-_WS = _whitespace_class()
+# Like ``float()``, the guard first maps every character with a decimal value
+# (``unicodedata.decimal``: Arabic-Indic, Devanagari, full-width, ... digits)
+# to its ASCII digit, then trims ``str.strip()`` white space and reads the
+# rest. Both sets are derived from Python's own rules.
+_SPACES = [c for c in range(0x110000) if chr(c).isspace()]
+_DECIMALS = [c for c in range(0x80, 0x110000) if unicodedata.decimal(chr(c), None) is not None]
+NON_ASCII_DIGITS = "".join(chr(c) for c in _DECIMALS)
+ASCII_OF_DIGITS = "".join(str(unicodedata.decimal(chr(c))) for c in _DECIMALS)
+_WS = _char_class(_SPACES)
 _DIGITS = "[0-9](?:_?[0-9])*"
 # The body Python's float() accepts: plain decimals with optional "_" between
 # digits, an exponent, or nan / inf / infinity in any case. Spark's own cast is
@@ -40,6 +45,11 @@ FLOAT_BODY = (
 FLOAT_PATTERN = f"^{_WS}*({FLOAT_BODY}){_WS}*$"
 
 
+def ascii_digits(col: Column) -> Column:
+    """Non-ASCII decimal digits replaced by their ASCII digit."""
+    return F.translate(col, NON_ASCII_DIGITS, ASCII_OF_DIGITS)
+
+
 def float_body(col: Column | str) -> Column:
     """The part of the text ``float()`` would parse, "_" removed; "" if none.
 
@@ -47,7 +57,7 @@ def float_body(col: Column | str) -> Column:
     per value (see ``parse_float_body`` for the value itself).
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(F.regexp_extract(c, FLOAT_PATTERN, 1), "_", "")
+    return F.regexp_replace(F.regexp_extract(ascii_digits(c), FLOAT_PATTERN, 1), "_", "")
 
 
 def parse_float_body(body: Column) -> Column:
@@ -65,18 +75,14 @@ def parse_float_body(body: Column) -> Column:
 
 
 def strict_double(col: Column | str) -> Column:
-    """Parse text the way Python's ``float()`` does; NULL where it would raise.
-
-    Known gap: Python also accepts non-ASCII decimal digits (e.g. Arabic-Indic);
-    this guard accepts ASCII digits only.
-    """
+    """Parse text the way Python's ``float()`` does; NULL where it would raise."""
     return parse_float_body(float_body(col))
 
 
 def is_float(col: Column | str) -> Column:
     """True where ``float(value)`` would succeed in Python."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(c.rlike(FLOAT_PATTERN), F.lit(False))
+    return F.coalesce(ascii_digits(c).rlike(FLOAT_PATTERN), F.lit(False))
 
 
 def sigmoid(z: Column) -> Column:

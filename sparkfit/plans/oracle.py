@@ -8,7 +8,7 @@ Column names and rounding match ``sparkfit.plans.queries``.
 
 from __future__ import annotations
 
-from sparkfit.functions.numeric import FLOAT_PATTERN
+from sparkfit.functions.numeric import ASCII_OF_DIGITS, FLOAT_PATTERN, NON_ASCII_DIGITS
 from sparkfit.plans import queries as Q
 from sparkfit.plans import tables as T
 from sparkfit.operators import logistic as L
@@ -25,12 +25,16 @@ def _tokens(col: str) -> str:
             f"lambda t: t <> '')")
 
 
+def _ascii(x: str) -> str:
+    return f"translate({x}, '{NON_ASCII_DIGITS}', '{ASCII_OF_DIGITS}')"
+
+
 def _float_ok(x: str) -> str:
-    return f"coalesce(regexp_matches({x}, '{FLOAT_PATTERN}'), false)"
+    return f"coalesce(regexp_matches({_ascii(x)}, '{FLOAT_PATTERN}'), false)"
 
 
 def _float_val(x: str) -> str:
-    b = f"replace(regexp_extract({x}, '{FLOAT_PATTERN}', 1), '_', '')"
+    b = f"replace(regexp_extract({_ascii(x)}, '{FLOAT_PATTERN}', 1), '_', '')"
     return (f"(CASE WHEN {x} IS NULL OR {b} = '' THEN NULL "
             f"WHEN lower({b}) IN ('nan', '+nan', '-nan') THEN CAST('nan' AS DOUBLE) "
             f"WHEN lower({b}) IN ('inf', '+inf', 'infinity', '+infinity') THEN CAST('inf' AS DOUBLE) "

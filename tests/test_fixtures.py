@@ -57,7 +57,7 @@ def test_same_app_on_three_lines_all_kept(spark):
 
 FLOATS = [" 2 ", "1_000", "1d", "NaN", "-nan", "+nan", "inf", "-Infinity", "1e3", ".5", "5.", "+3",
           "0x1p3", "1__0", "_1", "1_", "1_.5", "", " ", "abc", " 2 ", "1e1_0", "--1",
-          "1.0f", "٣", "1e309", "infinity ", "nan1"]
+          "1.0f", "٣", "١٢.٥", "１２", "𝟏", "1e309", "infinity ", "nan1"]
 
 
 def test_strict_double_matches_python_float(spark):
@@ -68,9 +68,6 @@ def test_strict_double_matches_python_float(spark):
             want = float(s)
         except ValueError:
             want = None
-        if s == "٣":      # documented gap: non-ASCII digits are not accepted
-            assert got[s] is None
-            continue
         if want is None:
             assert got[s] is None, s
         elif math.isnan(want):

@@ -196,7 +196,7 @@ def test_entity_features_invariant_under_repartition(spark):
     assert a == b
 
 
-FLOAT_ALPHABET = st.sampled_from(list("0123456789_.eE+- \tnaifNAIFtyxd"))
+FLOAT_ALPHABET = st.sampled_from(list("0123456789_.eE+- \tnaifNAIFtyxd٣١२\u3000"))
 
 
 @settings(max_examples=60, deadline=None)
