@@ -134,7 +134,11 @@ def _split_cut() -> str:
     return format(int(Q.SPLIT_FRACTION * 16 ** 8), "08x")
 
 
-def _logit_ctes(steps: int = L.LOGIT_STEPS) -> str:
+def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL) -> str:
+    """The descent unrolled: per step i, scores s{i}, gradient g{i}, history
+    m{i}, stop state st{i} (norm of the moved weights, whether an earlier step
+    stopped, whether this one stops) and the next weights w{i+1}: frozen after
+    a stop, moved but not shrunk on the stopping step, else moved and shrunk."""
     rate, l2, k, init = L.LOGIT_RATE, L.LOGIT_L2, Q.LOGIT_VOCAB, Q.LOGIT_INIT
     parts = [
         "lab AS (SELECT l.doc_id, CAST(l.quality AS DOUBLE) AS y FROM labels l JOIN documents d ON d.doc_id = l.doc_id)",
@@ -161,15 +165,25 @@ def _logit_ctes(steps: int = L.LOGIT_STEPS) -> str:
             f"sum(-y * ln(p + 1e-12) - (1 - y) * ln((1 - p) + 1e-12)) / (SELECT n FROM sz) AS loss, "
             f"sum(CASE WHEN (CASE WHEN p >= 0.5 THEN 1.0 ELSE 0.0 END) = y THEN 1 ELSE 0 END) / (SELECT n FROM sz) AS acc, "
             f"(SELECT sqrt(sum(g * g)) FROM g{i}) AS grad_norm FROM s{i})")
+        was_done = f"(SELECT done FROM st{i - 1})" if i else "false"
+        prev = f"(SELECT norm FROM st{i - 1})" if i else "0.0"
         parts.append(
-            f"w{i + 1} AS (SELECT idx, (w - {rate} * g) - 2 * {l2} * (w - {rate} * g) AS w FROM g{i})")
+            f"st{i} AS (SELECT norm, was_done, (was_done OR abs(norm - prev) < {tol!r}) AS done FROM "
+            f"(SELECT (SELECT sqrt(sum((w - {rate} * g) * (w - {rate} * g))) FROM g{i}) AS norm, "
+            f"{was_done} AS was_done, {prev} AS prev) x)")
+        parts.append(
+            f"w{i + 1} AS (SELECT g{i}.idx, CASE WHEN st.was_done THEN g{i}.w "
+            f"WHEN st.done THEN g{i}.w - {rate} * g{i}.g "
+            f"ELSE (g{i}.w - {rate} * g{i}.g) - 2 * {l2} * (g{i}.w - {rate} * g{i}.g) END AS w "
+            f"FROM g{i}, st{i} st)")
     return "WITH " + ",\n".join(parts)
 
 
-def _logit_trace_sql() -> str:
+def _logit_trace_sql(tol: float = L.LOGIT_STOP_TOL) -> str:
     steps = L.LOGIT_STEPS
-    union = "\nUNION ALL\n".join(f"SELECT * FROM m{i}" for i in range(steps))
-    return (f"{_logit_ctes()}\nSELECT CAST(iteration AS INTEGER) AS iteration, {_r('loss', 9)} AS loss, "
+    union = "\nUNION ALL\n".join(
+        f"SELECT m{i}.* FROM m{i}, st{i} WHERE NOT st{i}.done" for i in range(steps))
+    return (f"{_logit_ctes(tol=tol)}\nSELECT CAST(iteration AS INTEGER) AS iteration, {_r('loss', 9)} AS loss, "
             f"{_r('acc', 9)} AS acc, {_r('grad_norm', 9)} AS grad_norm FROM ({union}) h")
 
 

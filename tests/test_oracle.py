@@ -48,3 +48,27 @@ def test_svm_eval_runs(spark):
     assert 0.0 <= row[0]["accuracy"] <= 1.0
     assert 0.0 <= row[0]["weighted_f1"] <= 1.0
     assert row[0]["n_test"] > 0
+
+
+def test_logistic_early_stop_matches_oracle(spark, duck_small):
+    """A tolerance that stops the descent at step 3: history and weights agree."""
+    from sparkfit.functions.numeric import rounded
+    from sparkfit.operators import logistic as L
+    from sparkfit.plans import oracle as O
+    from sparkfit.plans import queries as Q
+    from pyspark.sql import functions as F
+    tol = 0.00083
+    ex, vocab, lab = Q._logit_inputs(spark, SF_SMALL)
+    try:
+        fit = L.fit_logistic(ex, Q.LOGIT_VOCAB, init=Q.LOGIT_INIT, tol=tol)
+    finally:
+        lab.unpersist()
+    assert fit.stopped_early and fit.trace.count() == 3
+    trace = fit.trace.select("iteration", rounded(F.col("loss"), 9).alias("loss"),
+                             rounded(F.col("acc"), 9).alias("acc"),
+                             rounded(F.col("grad_norm"), 9).alias("grad_norm"))
+    _, want = U.duck_rows(duck_small, O._logit_trace_sql(tol=tol))
+    assert U.canon(*U.spark_rows(trace)) == U.canon(["iteration", "loss", "acc", "grad_norm"], want)
+    w_sql = f"{O._logit_ctes(tol=tol)}\nSELECT idx, round(w, 10) + 0.0 AS w FROM w{L.LOGIT_STEPS}"
+    got = fit.weights.select("idx", rounded(F.col("w"), 10).alias("w"))
+    assert U.canon(*U.spark_rows(got)) == U.canon(*U.duck_rows(duck_small, w_sql))
