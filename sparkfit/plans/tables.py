@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
     return spread(df, spread_key) if spread_key else df
 
 
+# At most this many pieces per input split when spreading: a single Parquet
+# row group (the unit a scan cannot split) is at most about a gigabyte, so it
+# becomes pieces of ~16 MB rather than thousands of tiny tasks on a large cluster.
+SPREAD_PER_SPLIT = 64
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a scan over the cluster's cores when it has fewer splits.
 
@@ -35,9 +41,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:           # no JVM handles (e.g. a remote session): leave as is
         return df
-    if splits >= cores:
+    target = min(cores, SPREAD_PER_SPLIT * max(splits, 1))
+    if splits >= target:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(target, key)
 
 
 # The header line of the derived app-record file, and the way
