@@ -39,20 +39,29 @@ def multiclass_metrics(pred: DataFrame, label: str = "label",
                        prediction: str = "prediction") -> DataFrame:
     """One row: n, accuracy and label-weighted F1, as the multiclass evaluator
     defines them (classes are those present in the label column; a class with
-    no true positives contributes 0)."""
+    no true positives contributes 0).
+
+    Each confusion-matrix cell counts once for its true class and once for
+    its predicted class, so one ``groupBy(class)`` gives true count, true
+    positives and predicted count per class: no join.
+    """
     cm = pred.groupBy(F.col(label).cast("double").alias("l"),
                       F.col(prediction).cast("double").alias("p")).agg(F.count("*").alias("c"))
-    per_label = cm.groupBy(F.col("l").alias("cls")).agg(
-        F.sum("c").alias("n_true"), F.sum(F.when(F.col("l") == F.col("p"), F.col("c"))).alias("tp"))
-    per_pred = cm.groupBy(F.col("p").alias("cls")).agg(F.sum("c").alias("n_pred"))
-    # One row per class on each side; AQE broadcasts it on measured size.
-    cls = per_label.join(per_pred, "cls", "left")
-    tp = F.coalesce(F.col("tp"), F.lit(0)).cast("double")
+    zero = F.lit(0).cast("bigint")
+    hit = F.when(F.col("l") == F.col("p"), F.col("c")).otherwise(zero)
+    sides = F.array(
+        F.struct(F.col("l").alias("cls"), F.col("c").alias("t"), hit.alias("h"), zero.alias("q")),
+        F.struct(F.col("p").alias("cls"), zero.alias("t"), zero.alias("h"), F.col("c").alias("q")))
+    per_class = (cm.select(F.inline(sides))
+                   .groupBy("cls").agg(F.sum("t").alias("n_true"), F.sum("h").alias("tp"),
+                                       F.sum("q").alias("n_pred"))
+                   .where(F.col("n_true") > 0))
+    tp = F.col("tp").cast("double")
     precision = F.coalesce(F.try_divide(tp, F.col("n_pred").cast("double")), F.lit(0.0))
     recall = F.try_divide(tp, F.col("n_true").cast("double"))
     f1 = F.when(precision + recall == 0, F.lit(0.0)).otherwise(
         F.lit(2.0) * precision * recall / (precision + recall))
-    return cls.agg(
+    return per_class.agg(
         F.sum("n_true").cast("bigint").alias("n"),
         (F.sum(tp) / F.sum("n_true")).alias("accuracy"),
         (F.sum(f1 * F.col("n_true")) / F.sum("n_true")).alias("weighted_f1"),
