@@ -52,3 +52,12 @@ def test_sort_desc_positions_text_order(spark):
     df = spark.createDataFrame([("9",), ("10",), ("AU1",), ("b",)], "doc_id STRING")
     out = sort_desc_positions(df, "doc_id").orderBy("pos").collect()
     assert [r["doc_id"] for r in out] == sorted(["9", "10", "AU1", "b"], reverse=True)
+
+
+def test_spread_only_when_under_partitioned(spark):
+    from sparkfit.plans.tables import spread
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 100, 1, numPartitions=1)
+    assert spread(one, "id").rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, 1, numPartitions=cores * 2)
+    assert spread(many, "id") is many
