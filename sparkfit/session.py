@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,10 @@ LOCAL_CONF = {
 }
 
 
+# Tables behind the frames that write_table returned.
+_written: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "sparkfit", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
@@ -75,13 +81,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """The database of written intermediate tables. Its files are in the shared
+    folder, so dropping a table removes them, and ``clear_scratch`` removes all
+    that is left."""
+    base = ensure_checkpoint_dir(spark)
+    name = f"sparkfit_{zlib.crc32(base.encode()):08x}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{base}/sparkfit-scratch'")
+    return name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
+    """A fresh, unique folder of the scratch database's location, for files
+    that are not a table."""
+    scratch_database(spark)
     return f"{checkpoint_base(spark)}/sparkfit-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh, unique name of a table in the scratch database."""
+    return f"{scratch_database(spark)}.{name.replace('-', '_')}_{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared scratch folder and read it back.
+    """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts lineage in one job: unlike ``DataFrame.checkpoint()``, which computes
     the data once for its action and again to write the files (unless it was
@@ -89,25 +112,21 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     loses nothing. ``drop_table`` removes them once nothing reads them.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    # The schema is known: reading it back from the files would cost a job.
-    return spark.read.schema(df.schema).parquet(path)
+    table = scratch_table(spark, name)
+    df.write.format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    _written[out] = table
+    return out
 
 
 def drop_table(df: DataFrame) -> None:
-    """Delete the files behind a ``write_table`` result (no-op for others).
+    """Remove a ``write_table`` result with its files (no-op for other frames)."""
+    table = _written.pop(df, None)
+    if table is not None:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
 
-    Best effort: scratch space is only reclaimed early; nothing depends on it.
-    """
-    try:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for location in df.inputFiles():
-            folder = jvm.org.apache.hadoop.fs.Path(location).getParent()
-            if "/sparkfit-scratch/" in folder.toString():
-                folder.getFileSystem(conf).delete(folder, True)
-                break
-    except Exception:
-        pass
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table and file of this shared folder. Frames
+    that queries returned may read them: call it once results are consumed."""
+    spark.sql(f"DROP DATABASE IF EXISTS {scratch_database(spark)} CASCADE")
