@@ -1,33 +1,52 @@
-"""CSV with a header line and RFC-style quoting."""
+"""CSV with a header line and RFC-style quoting, value for value.
+
+What is written reads back the same: blanks at the ends of a text stay, an
+empty text and a missing value stay apart (``NULL_MARKER`` stands for the
+missing one, so a text that is exactly the marker can't be told from it; pass
+another), and a line break inside a text stays if ``multi_line`` is set.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+NULL_MARKER = "\\N"
+
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Header line, fields with commas or quotes quoted, no index column."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_marker: str = NULL_MARKER) -> str:
+    """Header line, fields with commas, quotes or line breaks quoted, no index column."""
     (df.write.mode(mode)
        .option("header", True)
        .option("quote", '"')
        .option("escape", '"')
+       .option("nullValue", null_marker)
+       .option("emptyValue", '""')
+       .option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
+             multi_line: bool = False, null_marker: str = NULL_MARKER) -> DataFrame:
     """Quote-aware read. Pass ``schema`` to skip the extra inference pass.
 
-    Without a schema the types are inferred, which costs one more full scan;
-    at scale always pass one.
+    Without a schema the types are inferred, which costs one more full scan; at
+    scale always pass one. ``multi_line`` accepts line breaks inside quotes,
+    but a file is then read by one task, so write many files. A record that
+    doesn't fit the schema fails the read rather than losing values.
     """
     reader = (spark.read
               .option("header", True)
               .option("quote", '"')
               .option("escape", '"')
-              .option("multiLine", False)
-              .option("mode", "PERMISSIVE"))
+              .option("nullValue", null_marker)
+              .option("emptyValue", "")
+              .option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False)
+              .option("multiLine", multi_line)
+              .option("mode", "FAILFAST"))
     if schema is None:
         reader = reader.option("inferSchema", True)
     else:
