@@ -23,7 +23,7 @@ def parse_doc_tags(lines: DataFrame, col: str = "value", keep: list[str] | None
 def sort_desc_positions(df: DataFrame, key: str, pos_col: str = "pos") -> DataFrame:
     """Number rows by falling ``key`` (text order for strings), from 0.
 
-    Range-partitioned, so the sort is spread over many tasks; see
-    ``row_positions``. ``key`` must be unique.
+    Range-partitioned, so the sort is spread over many tasks; rows of equal
+    keys are in the order of their other columns. See ``row_positions``.
     """
     return row_positions(df, [F.col(key).desc()], pos_col)

@@ -4,7 +4,9 @@
 all rows through one task (which a global ``row_number()`` window does):
 
 1. range-partition on the order and sort within partitions (Spark samples
-   the keys to pick balanced ranges);
+   the keys to pick balanced ranges); the other columns of a row are part of
+   the order, so rows with equal keys are told apart the same way in any
+   partitioning, and a run of them can be split over ranges;
 2. tag each row with its range (partition id) and its index inside the
    range, read from ``monotonically_increasing_id()`` (partition id in the
    upper 31 bits, row index in the lower 33, as documented); the sort makes
@@ -13,43 +15,39 @@ all rows through one task (which a global ``row_number()`` window does):
    lost executor);
 4. count rows per range (one small row per range) and prefix-sum them;
    position = offset of the range + index inside it.
+
+The rows are written before they are ranged, since range partitioning reads its
+input twice: give it narrow ones, the key and what the caller needs.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfit.session import write_table
+from sparkfit.session import drop_table, write_table
 
 _ROW_BITS = 33
 
 
 def row_positions(df: DataFrame, order: list[Column], pos_col: str = "pos",
                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``pos`` (BIGINT, from 0) following ``order``.
-
-    ``order`` must be a total order (end it with a unique column), so that a
-    run of equal leading values can still be split across range partitions.
-    """
-    # Range partitioning reads its input twice (key sampling, then the
-    # shuffle); persisting keeps the upstream work to one run.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (src.repartitionByRange(num_partitions, *order) if num_partitions
-              else src.repartitionByRange(*order))
+    """Add ``pos`` (BIGINT, from 0) following ``order``; ties are in the order
+    of the rows' columns."""
+    src = write_table(df, "positions-input")
+    total = [*order, *[F.col(c).asc() for c in df.columns]]
+    ranged = (src.repartitionByRange(num_partitions, *total) if num_partitions
+              else src.repartitionByRange(*total))
     pid = F.spark_partition_id().cast("bigint")
-    tagged = ranged.sortWithinPartitions(*order).select(
+    tagged = ranged.sortWithinPartitions(*total).select(
         "*", pid.alias("_pid"),
         (F.monotonically_increasing_id() - F.shiftleft(pid, _ROW_BITS)).alias("_local"))
-    try:
-        fixed = write_table(tagged, "positions")
-    finally:
-        src.unpersist()
+    fixed = write_table(tagged, "positions")
+    drop_table(src)
     counts = fixed.groupBy("_pid").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # One offset row per range: bounded by the partition count, safe to broadcast.
+    # One offset row per range: as many as the shuffle has partitions.
     return (fixed.join(F.broadcast(offsets), "_pid")
                  .withColumn(pos_col, (F.col("_off") + F.col("_local")).cast("bigint"))
                  .drop("_pid", "_local", "_off"))
@@ -57,7 +55,7 @@ def row_positions(df: DataFrame, order: list[Column], pos_col: str = "pos",
 
 def key_index(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     """(key, id): the position of the *last* row of each key, rows taken in
-    ascending ``order_cols`` order (which must be unique together).
+    ascending ``order_cols`` order (ties in the order of the key).
 
     A later row with the same key overwrites an earlier one, as when a map is
     built from the rows in turn. The max per key is map-side combined.
@@ -90,12 +88,7 @@ def join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
               .withColumn("n_pairs", F.col("n_left") * F.col("n_right")))
 
 
-def keyed_join_sorted(left: DataFrame, right: DataFrame, on: str,
-                      tiebreak: list[str] | None = None, pos_col: str = "pos") -> DataFrame:
-    """Inner join, then number the joined rows in key order (``pos``).
-
-    Give ``tiebreak`` columns when the key can repeat after the join.
-    """
-    joined = left.join(right, on, "inner")
-    order = [F.col(on).asc()] + [F.col(c).asc() for c in (tiebreak or [])]
-    return row_positions(joined, order, pos_col)
+def keyed_join_sorted(left: DataFrame, right: DataFrame, on: str, pos_col: str = "pos") -> DataFrame:
+    """Inner join, then number the joined rows in key order (``pos``); rows of
+    equal keys are in the order of their other columns."""
+    return row_positions(left.join(right, on, "inner"), [F.col(on).asc()], pos_col)
