@@ -1,15 +1,16 @@
 """Straight-line fits: least squares, and batch gradient descent by moments.
 
-Descent without intercept on y ~ b*x has gradient and cost that depend on the
-data only through four sums, so one aggregation replaces a pass per step:
+Descent without intercept on y ~ b*x has a gradient that depends on the data
+only through three sums, so one aggregation replaces a pass per step:
 
-    sum(x*r)  = Sxy - b*Sxx            with r = y - b*x
-    sum(r^2)  = Syy - 2*b*Sxy + b^2*Sxx
+    sum(x*r) = Sxy - b*Sxx             with r = y - b*x
     b' = b + rate/n * (Sxy - b*Sxx)  =>  b_i = b* + (b_0 - b*) * q^i,
     b* = Sxy/Sxx,  q = 1 - rate*Sxx/n
 
-The trace is then generated from the single moment row by ``explode``, with
-no join and no second pass over the data.
+The cost of a step is the best slope's cost, summed directly from residuals in
+a second pass, plus (b_i - b*)^2 * Sxx: no large sums are subtracted from one
+another. The trace is generated from the single row of sums by ``explode``,
+with no join. Pairs with a missing value count nowhere.
 """
 
 from __future__ import annotations
@@ -36,26 +37,17 @@ def ols_fit(df: DataFrame, y: str, x: str) -> DataFrame:
 
 
 def moments(df: DataFrame, y: str, xs: list[str]) -> DataFrame:
-    """One row: n, Syy and, per feature, Sxx_<x> and Sxy_<x>."""
-    aggs = [F.count("*").cast("double").alias("n"),
-            F.sum(F.col(y) * F.col(y)).alias("Syy")]
+    """One row with, per feature over the rows where it and y are present:
+    n_<x>, Sxx_<x> and Sxy_<x>."""
+    aggs = []
     for x in xs:
-        aggs.append(F.sum(F.col(x) * F.col(x)).alias(f"Sxx_{x}"))
-        aggs.append(F.sum(F.col(x) * F.col(y)).alias(f"Sxy_{x}"))
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        aggs += [F.count_if(both).cast("double").alias(f"n_{x}"),
+                 F.sum(F.when(both, F.col(x) * F.col(x))).alias(f"Sxx_{x}"),
+                 F.sum(F.when(both, F.col(x) * F.col(y))).alias(f"Sxy_{x}")]
     return df.agg(*aggs)
 
 
-def _beta_at(i, n, sxx, sxy, rate: float, start: float):
-    q = F.lit(1.0) - F.lit(rate) * sxx / n
-    bstar = sxy / sxx
-    closed = bstar + (F.lit(start) - bstar) * F.pow(q, i.cast("double"))
-    return F.when(sxx == 0, F.lit(start)).otherwise(closed)
-
-
-def _cost_of(beta, syy, sxx, sxy):
-    return syy - F.lit(2.0) * beta * sxy + beta * beta * sxx
-
-
 def descent_trace(df: DataFrame, y: str, x: str, rate: float = UNIVARIATE_RATE,
                   steps: int = DESCENT_STEPS, start: float = DESCENT_START) -> DataFrame:
     """(iteration, beta, cost) for ``steps`` steps; beta and cost are taken
@@ -70,15 +62,27 @@ def independent_descent_trace(df: DataFrame, y: str, xs: list[str],
     """Element-wise descent: each feature is fitted alone, as ``x*beta`` is a
     product per component. Cost per step is the sum over features of each
     feature's sum of squared residuals. Columns: iteration, beta_<x>..., cost.
+    A feature without a row or with all values 0 stays at the start.
     """
     names = beta_names or {x: f"beta_{x}" for x in xs}
     m = moments(df, y, xs)
-    it = m.select("*", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("iteration"))
-    i, n, syy = F.col("iteration"), F.col("n"), F.col("Syy")
-    betas = {x: _beta_at(i, n, F.col(f"Sxx_{x}"), F.col(f"Sxy_{x}"), rate, start) for x in xs}
-    it = it.select("*", *[b.alias(names[x]) for x, b in betas.items()])
-    cost = None
+    best = {x: F.when(F.col(f"Sxx_{x}") > 0, F.col(f"Sxy_{x}") / F.col(f"Sxx_{x}")).otherwise(F.lit(start))
+            for x in xs}
+    # Second pass: residuals at the best slopes, read from the first pass's one row.
+    slopes = m.select(F.struct(*[best[x].alias(x) for x in xs]).alias("b")).scalar()
+    left = df.select(F.col(y).alias("_y"), *[F.col(x).alias(f"_x{i}") for i, x in enumerate(xs)],
+                     slopes.alias("_best"))
+    residuals = left.agg(*[F.sum(F.pow(F.col("_y") - F.col("_best")[x] * F.col(f"_x{i}"), 2)).alias(f"sse_{x}")
+                           for i, x in enumerate(xs)])
+    sums = residuals.select(F.struct(*[F.coalesce(f"sse_{x}", F.lit(0.0)).alias(x) for x in xs]).alias("s")).scalar()
+    one = m.select("*", *[best[x].alias(f"best_{x}") for x in xs], sums.alias("_s"))
+    it = one.select("*", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("iteration"))
+    cost, betas = None, []
     for x in xs:
-        term = _cost_of(F.col(names[x]), syy, F.col(f"Sxx_{x}"), F.col(f"Sxy_{x}"))
+        sxx, top = F.coalesce(f"Sxx_{x}", F.lit(0.0)), F.col(f"best_{x}")
+        shrink = F.when(F.col(f"n_{x}") > 0, F.lit(1.0) - F.lit(rate) * sxx / F.col(f"n_{x}")).otherwise(F.lit(1.0))
+        off = (F.lit(start) - top) * F.pow(shrink, F.col("iteration").cast("double"))
+        betas.append((top + off).alias(names[x]))
+        term = F.col("_s")[x] + off * off * sxx
         cost = term if cost is None else cost + term
-    return it.select("iteration", *[names[x] for x in xs], cost.alias("cost"))
+    return it.select("iteration", *betas, cost.alias("cost"))
