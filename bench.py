@@ -16,7 +16,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sparkfit.plans.queries import QUERIES  # noqa: E402
-from sparkfit.session import build_session  # noqa: E402
+from sparkfit.plans.tables import INPUT_PARTITIONS  # noqa: E402
+from sparkfit.session import build_session, clear_scratch  # noqa: E402
 
 
 def main() -> None:
@@ -24,7 +25,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [k for k in os.environ.get("BENCH_KEYS", "").split(",") if k]
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="sparkfit-bench",
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g", INPUT_PARTITIONS: str(cpus)})
     # Warm the JVM outside the timings (class loading, JIT, the code
     # generator; Parquet read and write paths) on the 5-row region table, so
     # the first keys are not charged for JVM start-up. No result is reused.
@@ -45,6 +46,7 @@ def main() -> None:
             times[key] = round(time.perf_counter() - t0, 3)
         except Exception as exc:          # report and keep timing the other keys
             errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
+        clear_scratch(spark)
     spark.stop()
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({

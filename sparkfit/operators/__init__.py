@@ -10,7 +10,7 @@ from sparkfit.operators.metrics import confusion_metrics, multiclass_metrics
 from sparkfit.operators.rows import explode_items, filter_late
 from sparkfit.operators.regression import (descent_trace, independent_descent_trace, moments,
                                            ols_fit)
-from sparkfit.operators.svm import evaluate_svm, fit_svm, tf_vectors, vocab_words
+from sparkfit.operators.svm import evaluate_svm, fit_svm, sparse_entries, tf_vectors, vocab_words
 from sparkfit.operators.text import (char_frequency, corpus_counts, doc_tokens, lookup_vocab,
                                      name_words, term_frequency, top_words, vocabulary, word_count)
 
@@ -25,5 +25,5 @@ __all__ = [
     "LogisticFit", "build_examples", "start_weights", "score_rows", "fit_logistic",
     "predict_logistic", "top_coefficients",
     "confusion_metrics", "multiclass_metrics",
-    "vocab_words", "tf_vectors", "fit_svm", "evaluate_svm", "explode_items", "filter_late",
+    "vocab_words", "tf_vectors", "sparse_entries", "fit_svm", "evaluate_svm", "explode_items", "filter_late",
 ]

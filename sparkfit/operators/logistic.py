@@ -1,19 +1,21 @@
 """Logistic regression by batch gradient descent on long-form term frequencies.
 
 Data layout: ``examples`` = (id, y, idx, tf, head), hash-partitioned by id,
-sorted by (id, idx) and persisted for the duration of the fit. A row with no known word keeps one
-row with NULL idx so that it still scores 0. ``head`` marks one row per id.
+sorted by (id, idx) and persisted for the duration of the fit. A row with no
+known word keeps one row with NULL idx so that it still scores 0. ``head``
+marks one row per id. The model has a weight for each word of the vocabulary.
 
 Each step is one pass over ``examples``:
 
-* the weights (idx, w), at most K rows, are broadcast and left-joined on idx;
+* the weights (idx, w), a written table of a row per word, are left-joined on
+  idx; Spark broadcasts them by their measured size;
 * the score z = sum(tf*w) per id is a window over id; the data is already
   partitioned and sorted by id, so the window adds no shuffle and no sort;
 * gradient sums per idx, plus loss and hits on ``head`` rows, come out of
-  one ``groupBy(idx)`` that is combined map-side (K+1 rows leave each task);
+  one ``groupBy(idx)`` that is combined map-side (a row per word and one more leave each task);
   the current weights join that same aggregation through a union, so the
   step needs no join;
-* the per-word sums, K+1 rows, are written as a table in the shared scratch
+* the per-word sums are written as a table in the shared scratch
   folder, which cuts the lineage each step in one job; one row of plain sums
   read from it gives loss, accuracy, the gradient norm and the norm of the
   moved weights (for the early stop); the next weights are a projection of
@@ -30,7 +32,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkfit.functions.numeric import log_loss, sigmoid, threshold
-from sparkfit.operators.text import MAX_BROADCAST_VOCAB
 from sparkfit.session import drop_table, write_table
 
 # The model's step size, step count, L2 factor, stop tolerance
@@ -44,7 +45,7 @@ LOGIT_INIT_STD = 0.1
 
 @dataclass
 class LogisticFit:
-    weights: DataFrame      # (idx INT, w DOUBLE), K rows
+    weights: DataFrame      # (idx INT, w DOUBLE), a row per word
     trace: DataFrame        # (iteration INT, loss, acc, grad_norm DOUBLE)
     size: int               # number of examples
     stopped_early: bool
@@ -57,39 +58,37 @@ def build_examples(tf: DataFrame, labels: DataFrame, id_col: str = "id",
     lab = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
     feats = tf.select(F.col(id_col).alias("id"), F.col("idx").cast("int").alias("idx"),
                       F.col("tf").cast("double").alias("tf"))
-    ex = (lab.join(feats, "id", "left")
-             .repartition("id")
-             .sortWithinPartitions("id", "idx"))
+    # The window partitions and sorts by id, unless the join's sides are so already.
     first = Window.partitionBy("id").orderBy("idx")
-    return ex.withColumn("head", F.row_number().over(first) == 1)
+    return lab.join(feats, "id", "left").withColumn("head", F.row_number().over(first) == 1)
 
 
-def start_weights(spark: SparkSession, k: int, init: float | None = None,
-                  seed: int = 7) -> DataFrame:
-    """(idx, w): a constant start, or N(0, 0.1) drawn with a fixed seed."""
-    base = spark.range(0, k, 1, numPartitions=1).select(F.col("id").cast("int").alias("idx"))
+def start_weights(vocab: DataFrame, init: float | None = None, seed: int = 7) -> DataFrame:
+    """(idx, w) for each word of the vocabulary: a constant start, or N(0, 0.1)
+    drawn from a hash of the seed and the word's index, the same in any run and
+    partitioning."""
+    base = vocab.select(F.col("idx").cast("int").alias("idx"))
     if init is not None:
         return base.withColumn("w", F.lit(float(init)))
-    return base.withColumn("w", F.randn(seed) * F.lit(LOGIT_INIT_STD))
 
+    def uniform(part: int):
+        return (F.pmod(F.xxhash64(F.lit(seed), F.lit(part), "idx"), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    normal = F.sqrt(F.lit(-2.0) * F.log(uniform(0))) * F.cos(F.lit(2 * math.pi) * uniform(1))
+    return base.withColumn("w", normal * F.lit(LOGIT_INIT_STD))
 
-def _weights_side(weights: DataFrame, k: int) -> DataFrame:
-    side = weights.select("idx", "w")
-    return F.broadcast(side) if k <= MAX_BROADCAST_VOCAB else side
 
-
-def score_rows(examples: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+def score_rows(examples: DataFrame, weights: DataFrame) -> DataFrame:
     """Every example row with its id's score z and probability p."""
-    joined = examples.join(_weights_side(weights, k), "idx", "left")
+    joined = examples.join(weights.select("idx", "w"), "idx", "left")
     z = F.sum(F.coalesce(F.col("tf") * F.col("w"), F.lit(0.0))).over(Window.partitionBy("id"))
     return joined.withColumn("z", z).withColumn("p", sigmoid(F.col("z")))
 
 
-def fit_logistic(examples: DataFrame, k: int, rate: float = LOGIT_RATE,
+def fit_logistic(examples: DataFrame, vocab: DataFrame, rate: float = LOGIT_RATE,
                  steps: int = LOGIT_STEPS, l2: float = LOGIT_L2,
                  init: float | None = None, seed: int = 7,
                  tol: float = LOGIT_STOP_TOL, persist: bool = True) -> LogisticFit:
-    """Batch descent with the step rule:
+    """Batch descent over the words of ``vocab`` (its ``idx``) with the step rule:
 
     w <- w - rate * grad;  stop if | ||w|| - ||w_prev|| | < tol (this step is
     then left out of the history and not shrunk);  w <- w - 2*l2*w.
@@ -100,26 +99,26 @@ def fit_logistic(examples: DataFrame, k: int, rate: float = LOGIT_RATE,
     """
     spark = examples.sparkSession
     if not persist:
-        return _descend(spark, examples, k, rate, steps, l2, init, seed, tol)
+        return _descend(spark, examples, vocab, rate, steps, l2, init, seed, tol)
     examples = examples.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _descend(spark, examples, k, rate, steps, l2, init, seed, tol)
+        return _descend(spark, examples, vocab, rate, steps, l2, init, seed, tol)
     finally:
         examples.unpersist()
 
 
-def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, steps: int,
+def _descend(spark: SparkSession, examples: DataFrame, vocab: DataFrame, rate: float, steps: int,
              l2: float, init: float | None, seed: int, tol: float) -> LogisticFit:
-    weights = start_weights(spark, k, init, seed)
+    weights = write_table(start_weights(vocab, init, seed), "logit-start")
+    previous = weights
     prev_norm = 0.0
     history = []
     stopped = False
     size = 0
-    previous = None
     y, p, head = F.col("y"), F.col("p"), F.col("head")
     none = F.lit(None).cast("double")
     for i in range(steps):
-        scored = score_rows(examples, weights, k)
+        scored = score_rows(examples, weights)
         # Per-row contributions and the current weights go through one
         # groupBy(idx): a single map-side-combined shuffle, no join.
         contrib = scored.select(
@@ -135,8 +134,7 @@ def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, step
                 F.sum("loss").alias("loss_sum"), F.sum("hit").alias("hits"),
                 F.sum("head").alias("heads")),
             f"logit-step{i}")
-        if previous is not None:
-            drop_table(previous)        # superseded: the new weights come from `step`
+        drop_table(previous)            # superseded: the new weights come from `step`
         previous = step
         known = F.col("idx").isNotNull()
         g = F.coalesce(F.col("gsum"), F.lit(0.0))
@@ -167,18 +165,17 @@ def _descend(spark: SparkSession, examples: DataFrame, k: int, rate: float, step
     return LogisticFit(weights=weights, trace=trace, size=size, stopped_early=stopped)
 
 
-def predict_logistic(examples: DataFrame, weights: DataFrame, k: int,
-                     cut: float = 0.5) -> DataFrame:
+def predict_logistic(examples: DataFrame, weights: DataFrame, cut: float = 0.5) -> DataFrame:
     """(id, y, p, pred) per example; ``pred = p >= cut``.
 
     ``groupBy(id, y)`` reuses the examples' partitioning by id: no shuffle.
     """
-    joined = examples.join(_weights_side(weights, k), "idx", "left")
+    joined = examples.join(weights.select("idx", "w"), "idx", "left")
     z = F.sum(F.coalesce(F.col("tf") * F.col("w"), F.lit(0.0)))
     scored = joined.groupBy("id", "y").agg(z.alias("z"))
     p = sigmoid(F.col("z"))
     return scored.select("id", F.col("y").cast("int").alias("y"), p.alias("p"),
-                         threshold(p).alias("pred"))
+                         threshold(p, cut).alias("pred"))
 
 
 def top_coefficients(weights: DataFrame, vocab: DataFrame, n: int = 5) -> DataFrame:

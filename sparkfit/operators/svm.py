@@ -8,8 +8,6 @@ that goes to the driver: MLlib models keep it there.
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -18,9 +16,6 @@ from pyspark.sql import functions as F
 
 from sparkfit.operators.metrics import multiclass_metrics
 
-# Rows of sparse TF vectors per partition while iterating (tens of MB).
-ROWS_PER_PARTITION = 50_000
-
 
 def vocab_words(vocab: DataFrame) -> list[str]:
     """Words of a (word, idx) vocabulary in idx order; at most K rows."""
@@ -34,33 +29,34 @@ def tf_vectors(df: DataFrame, words: list[str], tokens_col: str = "tokens",
     return model.transform(df)
 
 
-def sized_for_iteration(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION
-                        ) -> tuple[DataFrame, DataFrame]:
-    """Persist ``df``; return (persisted, view with ~``rows_per_partition`` rows
-    per partition).
+def sparse_entries(df: DataFrame, keep: list[str], features: str = "features") -> DataFrame:
+    """(keep..., idx, tf): the stored entries of sparse vectors, one row each.
 
-    Every optimiser step aggregates a dense gradient from every partition,
-    so many tiny partitions cost more than they compute. ``coalesce`` merges
-    partitions without a shuffle; a large input keeps one partition per
-    ``rows_per_partition`` rows. Unpersist the first item when done.
-    """
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = data.count()
-    current = data.rdd.getNumPartitions()
-    wanted = max(1, min(current, math.ceil(rows / rows_per_partition)))
-    return data, (data.coalesce(wanted) if wanted < current else data)
+    The vector is read through its JSON form, which has the indices and values
+    as they are stored, so a vector costs its entries and not its size."""
+    parts = F.from_json(F.to_json(F.struct(F.col(features).alias("v"))),
+                        "v STRUCT<indices: ARRAY<INT>, values: ARRAY<DOUBLE>>")
+    return df.select(*keep, parts["v"].alias("v")) \
+        .select(*keep, F.inline(F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("tf"))))
 
 
 def fit_svm(train: DataFrame, features: str = "features", label: str = "labels",
-            **params) -> LinearSVCModel:
+            partitions: int | None = None, **params) -> LinearSVCModel:
     """``LinearSVC`` with its defaults unless overridden (maxIter 100,
-    regParam 0, tol 1e-6, standardization on, threshold 0)."""
-    cached, data = sized_for_iteration(
-        train.select(features, F.col(label).cast("double").alias(label)))
+    regParam 0, tol 1e-6, standardization on, threshold 0).
+
+    The fit keeps the input's partitions; ``partitions`` merges them to so many
+    first, for inputs in far more pieces than the optimiser's 100 passes need.
+    ``aggregationDepth`` (MLlib's own parameter) sums the dense gradients of
+    many partitions in a tree instead of on the driver."""
+    data = train.select(features, F.col(label).cast("double").alias(label))
+    if partitions is not None:
+        data = data.coalesce(partitions)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return LinearSVC(featuresCol=features, labelCol=label, **params).fit(data)
     finally:
-        cached.unpersist()
+        data.unpersist()
 
 
 def evaluate_svm(model: LinearSVCModel, test: DataFrame, label: str = "labels") -> DataFrame:

@@ -1,8 +1,9 @@
 """Words, counts, top-K vocabulary and term frequencies, all in long form.
 
 Tokens are exploded in the JVM (no driver hop). Counting is map-side combined.
-The vocabulary is bounded by K, which is what makes broadcasting it safe; past
-``MAX_BROADCAST_VOCAB`` the lookup falls back to a shuffle join.
+Joins to a vocabulary carry no hint: write it as a table first (``write_table``)
+and Spark broadcasts it by its measured size, or shuffles when it is larger
+than ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -15,9 +16,6 @@ from sparkfit.operators.rows import explode_items
 
 # Fixed value: the vocabulary size of both classifiers.
 VOCAB_SIZE = 20000
-# Largest vocabulary shipped to every task as a broadcast hash table
-# (a few tens of MB of words at most); larger ones are joined by shuffle.
-MAX_BROADCAST_VOCAB = 1_000_000
 
 
 def name_words(df: DataFrame, name: str, distinct: bool = True) -> DataFrame:
@@ -44,10 +42,15 @@ def word_count(tokens: DataFrame, word: str = "token") -> DataFrame:
 def top_words(counts: DataFrame, k: int = VOCAB_SIZE) -> DataFrame:
     """The K most frequent words; ties broken by the word itself.
 
-    ``orderBy().limit()`` plans as ``TakeOrderedAndProject``: each partition
-    keeps its own top K, so at most K rows per partition move.
+    A histogram of the counts (one row per distinct count) gives the smallest
+    count that can be among the K first; only words that reach it are ordered,
+    so the final order takes K rows and the ties at that count, not K rows from
+    every partition.
     """
-    return counts.orderBy(F.desc("cnt"), F.asc("word")).limit(k)
+    sizes = counts.groupBy("cnt").agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.orderBy(F.desc("cnt"))) - F.col("n")
+    least = sizes.withColumn("above", above).where(F.col("above") < k).agg(F.min("cnt").alias("least"))
+    return counts.where(F.col("cnt") >= least.scalar()).orderBy(F.desc("cnt"), F.asc("word")).limit(k)
 
 
 def vocabulary(counts: DataFrame, k: int = VOCAB_SIZE) -> DataFrame:
@@ -61,28 +64,24 @@ def vocabulary(counts: DataFrame, k: int = VOCAB_SIZE) -> DataFrame:
             .select("word", "idx", "cnt"))
 
 
-def lookup_vocab(df: DataFrame, vocab: DataFrame, k: int, on: str = "word",
-                 how: str = "inner") -> DataFrame:
-    """Join to a vocabulary of at most ``k`` rows, broadcasting it when small."""
-    side = vocab.select(on, "idx")
-    if k <= MAX_BROADCAST_VOCAB:
-        side = F.broadcast(side)
-    return df.join(side, on, how)
+def lookup_vocab(df: DataFrame, vocab: DataFrame, on: str = "word", how: str = "inner") -> DataFrame:
+    """Join to a vocabulary; Spark picks the method by the vocabulary's size."""
+    return df.join(vocab.select(on, "idx"), on, how)
 
 
-def term_frequency(tokens: DataFrame, vocab: DataFrame, k: int = VOCAB_SIZE,
-                   id_col: str = "id", word: str = "token") -> DataFrame:
+def term_frequency(tokens: DataFrame, vocab: DataFrame, id_col: str = "id", word: str = "token") -> DataFrame:
     """(id, idx, tf): count of each known word per row; unknown words drop.
 
-    The vocabulary join comes first, map-side, so the shuffle carries small
-    integer indexes and already-combined counts instead of word strings.
+    The vocabulary join comes first, so that the shuffle carries small integer
+    indexes and already-combined counts instead of word strings. Tokens that
+    are partitioned by id already aren't shuffled again.
     """
-    known = lookup_vocab(tokens.select(id_col, F.col(word).alias("word")), vocab, k)
+    known = lookup_vocab(tokens.select(id_col, F.col(word).alias("word")), vocab)
     return known.groupBy(id_col, "idx").agg(F.count("*").alias("tf"))
 
 
 def char_frequency(df: DataFrame, id_col: str, text_col: str,
-                   vocab: DataFrame | None = None, k: int = VOCAB_SIZE) -> DataFrame:
+                   vocab: DataFrame | None = None) -> DataFrame:
     """Per-row counts of each *character*.
 
     Without ``vocab``: (id, ch, tf). With it: (id, idx, tf) for characters that
@@ -92,7 +91,7 @@ def char_frequency(df: DataFrame, id_col: str, text_col: str,
     chars = explode_items(df, [F.col(id_col)], char_array(text_col), "ch")
     if vocab is None:
         return chars.groupBy(id_col, "ch").agg(F.count("*").alias("tf"))
-    known = lookup_vocab(chars.withColumnRenamed("ch", "word"), vocab, k)
+    known = lookup_vocab(chars.withColumnRenamed("ch", "word"), vocab)
     return known.groupBy(id_col, "idx").agg(F.count("*").alias("tf"))
 
 

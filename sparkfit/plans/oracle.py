@@ -77,6 +77,12 @@ cleaned AS (
 )"""
 
 
+def _finite_cte() -> str:
+    """Cleaned lines without a NaN or infinite field."""
+    finite = " AND ".join(f"isfinite({x})" for x in ("rating", "rating_count", "min_install", "max_install", "price"))
+    return f"{_cleaned_cte()},\nfinite AS (SELECT * FROM cleaned WHERE {finite})"
+
+
 def _doc_lines_cte() -> str:
     text = "regexp_replace(text, '[\\r\\n]', ' ', 'g')"
     return f"""dl AS (
@@ -134,15 +140,27 @@ def _split_cut() -> str:
     return format(int(Q.SPLIT_FRACTION * 16 ** 8), "08x")
 
 
-def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL) -> str:
-    """The descent unrolled: per step i, scores s{i}, gradient g{i}, history
+LABELED = ["lab AS (SELECT l.doc_id, CAST(l.quality AS DOUBLE) AS y FROM labels l JOIN documents d ON d.doc_id = l.doc_id)",
+           f"tok AS (SELECT d.doc_id, unnest({_tokens('d.text')}) AS word FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"]
+
+
+def _named_ctes() -> list[str]:
+    """Names of the cleaned finite lines as documents, their words as tokens."""
+    return [_finite_cte(), "names AS (SELECT DISTINCT app AS doc_id FROM finite)",
+            "tok AS (SELECT doc_id, regexp_replace(piece, '[^A-Za-z0-9]+', '', 'g') AS word FROM "
+            "(SELECT doc_id, unnest(string_split(doc_id, ' ')) AS piece FROM names) p "
+            "WHERE regexp_replace(piece, '[^A-Za-z0-9]+', '', 'g') <> '')",
+            f"lab AS (SELECT DISTINCT doc_id, CASE WHEN starts_with(doc_id, '{Q.LABEL_PREFIX}') THEN 1.0 ELSE 0.0 END AS y FROM tok)"]
+
+
+def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL, inputs: list[str] | None = None) -> str:
+    """The descent over the rows of ``lab`` and ``tok`` (``inputs``) unrolled: per step i, scores s{i}, gradient g{i}, history
     m{i}, stop state st{i} (norm of the moved weights, whether an earlier step
     stopped, whether this one stops) and the next weights w{i+1}: frozen after
     a stop, moved but not shrunk on the stopping step, else moved and shrunk."""
-    rate, l2, k, init = L.LOGIT_RATE, L.LOGIT_L2, Q.LOGIT_VOCAB, Q.LOGIT_INIT
+    rate, l2, k, init = L.LOGIT_RATE, L.LOGIT_L2, TX.VOCAB_SIZE, Q.LOGIT_INIT
     parts = [
-        "lab AS (SELECT l.doc_id, CAST(l.quality AS DOUBLE) AS y FROM labels l JOIN documents d ON d.doc_id = l.doc_id)",
-        f"tok AS (SELECT d.doc_id, unnest({_tokens('d.text')}) AS word FROM documents d JOIN labels l ON l.doc_id = d.doc_id)",
+        *(inputs or LABELED),
         "wc AS (SELECT word, count(*) AS cnt FROM tok GROUP BY word)",
         _vocab_cte("vocab", "wc", k),
         "tf AS (SELECT t.doc_id, v.idx, CAST(count(*) AS DOUBLE) AS tf FROM tok t JOIN vocab v ON v.word = t.word GROUP BY t.doc_id, v.idx)",
@@ -179,11 +197,11 @@ def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL) -> st
     return "WITH " + ",\n".join(parts)
 
 
-def _logit_trace_sql(tol: float = L.LOGIT_STOP_TOL) -> str:
+def _logit_trace_sql(tol: float = L.LOGIT_STOP_TOL, inputs: list[str] | None = None) -> str:
     steps = L.LOGIT_STEPS
     union = "\nUNION ALL\n".join(
         f"SELECT m{i}.* FROM m{i}, st{i} WHERE NOT st{i}.done" for i in range(steps))
-    return (f"{_logit_ctes(tol=tol)}\nSELECT CAST(iteration AS INTEGER) AS iteration, {_r('loss', 9)} AS loss, "
+    return (f"{_logit_ctes(tol=tol, inputs=inputs)}\nSELECT CAST(iteration AS INTEGER) AS iteration, {_r('loss', 9)} AS loss, "
             f"{_r('acc', 9)} AS acc, {_r('grad_norm', 9)} AS grad_norm FROM ({union}) h")
 
 
@@ -193,7 +211,6 @@ def _logit_final() -> str:
 
 def _sql() -> dict[str, str]:
     cleaned = _cleaned_cte()
-    part_cols = ", ".join(Q.ALL_PART)
     tokens = _tokens("text")
     s_last = f"s{L.LOGIT_STEPS}"
     w_last = _logit_final()
@@ -201,22 +218,23 @@ def _sql() -> dict[str, str]:
         "text_scan": f"WITH {_app_lines_cte()} SELECT value FROM lines",
         "split_clean": f"WITH {cleaned} SELECT * FROM cleaned",
         "project_cast": f"WITH {cleaned} SELECT app, min_install, rating, max_install FROM cleaned",
-        "csv_roundtrip": f"SELECT {part_cols}, p_name || ', ' || p_brand AS label_text FROM part",
-        "sample_exact": (f"SELECT {part_cols} FROM part ORDER BY "
-                         f"md5(concat_ws(':', '{Q.SAMPLE_SEED}', CAST(p_partkey AS VARCHAR))) LIMIT {Q.SAMPLE_N}"),
+        "csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "sample_exact": (f"SELECT {', '.join(Q.SAMPLE_COLUMNS)} FROM lineitem ORDER BY md5(concat_ws(':', "
+                         f"'{Q.SAMPLE_SEED}', {', '.join(f'CAST({c} AS VARCHAR)' for c in Q.SAMPLE_COLUMNS[:4])})) "
+                         f"LIMIT {Q.SAMPLE_N}"),
         "ols_fit": (f"SELECT CAST(count(*) AS BIGINT) AS n, {_r('regr_slope(p_retailprice, p_size)', 8)} AS slope, "
                     f"{_r('regr_intercept(p_retailprice, p_size)', 8)} AS intercept, "
                     f"printf('y = %.4fX + %.4f', regr_slope(p_retailprice, p_size), "
                     f"regr_intercept(p_retailprice, p_size)) AS equation FROM part"),
         "gd_univariate_trace": _descent_sql(
             "SELECT CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FROM part", ["x"],
-            R.UNIVARIATE_RATE, 2, {"x": "beta"}),
+            R.UNIVARIATE_RATE, 1, {"x": "beta"}),
         "entity_features": (f"SELECT l_partkey AS app, {_r('rating', 8)} AS rating, "
                             f"{_r('rating_count', 4)} AS rating_count, CAST(min_install AS BIGINT) AS min_install, "
                             f"{_r('price', 8)} AS price, CAST(max_install AS BIGINT) AS max_install "
                             f"FROM ({_entity_sql()}) e"),
         "gd_independent_trace": _descent_sql(
-            f"SELECT rating, rating_count / {Q.RATING_COUNT_UNIT} AS rating_count, "
+            f"SELECT rating, rating_count / {Q.PRICE_SUM_UNIT} AS rating_count, "
             f"CAST(min_install AS DOUBLE) AS min_install, price, CAST(max_install AS DOUBLE) AS y "
             f"FROM ({_entity_sql()}) e",
             ["rating", "rating_count", "min_install", "price"], R.INDEPENDENT_RATE, 3,
@@ -245,7 +263,13 @@ def _sql() -> dict[str, str]:
                            f"{_vocab_cte('vocab', 'wc', TX.VOCAB_SIZE)} "
                            f"SELECT t.doc_id, v.idx, count(*) AS tf FROM tok t JOIN vocab v ON v.word = t.word "
                            f"GROUP BY t.doc_id, v.idx"),
-        "char_frequency": ("SELECT doc_id, ch, count(*) AS tf FROM "
+        "char_frequency": (f"WITH tok AS (SELECT unnest({tokens}) AS word FROM documents), "
+                           f"wc AS (SELECT word, count(*) AS cnt FROM tok GROUP BY word), "
+                           f"{_vocab_cte('vocab', 'wc', TX.VOCAB_SIZE)} "
+                           f"SELECT c.doc_id, v.idx, count(*) AS tf FROM "
+                           f"(SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents) c "
+                           f"JOIN vocab v ON v.word = c.ch GROUP BY c.doc_id, v.idx"),
+        "char_counts": ("SELECT doc_id, ch, count(*) AS tf FROM "
                            "(SELECT doc_id, unnest(string_split(source, '')) AS ch FROM documents) c "
                            "GROUP BY doc_id, ch"),
         "holdout_features": (
@@ -265,11 +289,14 @@ def _sql() -> dict[str, str]:
         "keyed_join": (
             "WITH ids AS (SELECT p_name, max(pos) AS id FROM "
             "(SELECT p_name, row_number() OVER (ORDER BY p_partkey) - 1 AS pos FROM part) p GROUP BY p_name), "
-            "r AS (SELECT ids.id FROM part JOIN ids USING (p_name)), "
-            "pairs AS (SELECT a.id FROM r a JOIN r b ON a.id = b.id) "
-            "SELECT CAST(c.id AS BIGINT) AS id, n_left, n_right, n_pairs FROM "
-            "(SELECT id, count(*) AS n_left, count(*) AS n_right FROM r GROUP BY id) c "
-            "JOIN (SELECT id, count(*) AS n_pairs FROM pairs GROUP BY id) p ON p.id = c.id"),
+            f"lab AS (SELECT id, CAST(starts_with(p_name, '{Q.LABEL_PREFIX}') AS INTEGER) AS label FROM ids) "
+            "SELECT CAST(ids.id AS BIGINT) AS id, part.p_size, lab.label FROM part JOIN ids USING (p_name) "
+            "JOIN lab ON lab.id = ids.id"),
+        "join_fanout": (
+            "WITH r AS (SELECT d.lang FROM documents d JOIN labels l ON l.doc_id = d.doc_id), "
+            "pairs AS (SELECT d.lang, count(*) AS n_pairs FROM documents d JOIN r ON r.lang = d.lang GROUP BY d.lang) "
+            "SELECT lang, (SELECT count(*) FROM documents d WHERE d.lang = pairs.lang) AS n_left, "
+            "(SELECT count(*) FROM r WHERE r.lang = pairs.lang) AS n_right, n_pairs FROM pairs"),
         "keyed_join_sorted": ("SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic, "
                               "CAST(row_number() OVER (ORDER BY d.doc_id) - 1 AS BIGINT) AS pos "
                               "FROM documents d JOIN labels l ON l.doc_id = d.doc_id"),
@@ -295,6 +322,28 @@ def _sql() -> dict[str, str]:
             f"CASE WHEN 2 * count_if(pr = 1 AND yy = 1) + count_if(pr <> 1 AND yy = 1) + count_if(pr = 1 AND yy <> 1) = 0 "
             f"THEN NULL ELSE {_r('2.0 * count_if(pr = 1 AND yy = 1) / (2 * count_if(pr = 1 AND yy = 1) + count_if(pr <> 1 AND yy = 1) + count_if(pr = 1 AND yy <> 1))', 9)} END AS f1 "
             f"FROM c"),
+        "line_fit": (
+            f"SELECT -1 AS iteration, {_r('regr_slope(rating, max_install)', 7)} AS slope, "
+            f"{_r('regr_intercept(rating, max_install)', 7)} AS value FROM (WITH {_finite_cte()} SELECT * FROM finite) o "
+            f"UNION ALL SELECT iteration, {_r('beta', 7)}, cost FROM ("
+            + _descent_sql(f"WITH {_finite_cte()} SELECT max_install AS x, rating AS y FROM finite", ["x"],
+                           R.UNIVARIATE_RATE, 1, {"x": "beta"}) + ") t"),
+        "line_features": _descent_sql(
+            f"WITH {_finite_cte()} SELECT avg(rating) AS rating, sum(rating_count) / {Q.PRICE_SUM_UNIT} AS rating_count, "
+            f"CAST(count_if(min_install <> 0) AS DOUBLE) AS min_install, sum(price) / {Q.PRICE_SUM_UNIT} AS price, "
+            f"CAST(count_if(max_install <> 0) AS DOUBLE) AS y FROM finite GROUP BY app",
+            ["rating", "rating_count", "min_install", "price"], R.INDEPENDENT_RATE, 3,
+            {x: f"beta_{x}" for x in ["rating", "rating_count", "min_install", "price"]}),
+        "name_logit": _logit_trace_sql(inputs=_named_ctes()),
+        "svm_features": (
+            f"WITH sp AS (SELECT d.doc_id, d.text, l.quality AS label, substring(md5(concat_ws(':', '{Q.SPLIT_SEED}', "
+            f"CAST(d.doc_id AS VARCHAR))), 1, 8) < '{_split_cut()}' AS is_train "
+            f"FROM documents d JOIN labels l ON l.doc_id = d.doc_id), "
+            f"tok AS (SELECT doc_id, label, is_train, unnest({tokens}) AS word FROM sp), "
+            f"wc AS (SELECT word, count(*) AS cnt FROM tok WHERE is_train GROUP BY word), "
+            f"{_vocab_cte('vocab', 'wc', TX.VOCAB_SIZE)} "
+            f"SELECT t.doc_id, CASE WHEN t.is_train THEN 'train' ELSE 'test' END AS split, t.label, v.idx, "
+            f"count(*) AS tf FROM tok t JOIN vocab v ON v.word = t.word GROUP BY t.doc_id, t.is_train, t.label, v.idx"),
         "multiclass_metrics": (
             "WITH pr AS (SELECT CAST(quality AS DOUBLE) AS l, CAST(CASE WHEN toxic = 0 THEN 1 ELSE 0 END AS DOUBLE) AS p "
             "FROM labels), "

@@ -23,17 +23,17 @@ from sparkfit.session import scratch_path, write_table
 from sparkfit.sources import hash_split, read_csv, read_lines, sample_exact, write_csv, write_lines
 
 # Fixed query parameters.
-SAMPLE_N = 100
+SAMPLE_N = 10_000
 SAMPLE_SEED = 42
 SPLIT_SEED = 42
 SPLIT_FRACTION = 0.5
 LABEL_PREFIX = "la"
-LOGIT_VOCAB = 50
 LOGIT_INIT = 0.01
-# gd_independent: rating_count is a sum of prices; it is expressed in units of
-# 10,000 so that rate * mean(x^2) stays far below 2 and the descent converges.
-RATING_COUNT_UNIT = 10000.0
+# Sums of prices are expressed in units of 10,000 in the four-feature descents,
+# so that rate * mean(x^2) stays far below 2 and the descent converges.
+PRICE_SUM_UNIT = 10000.0
 
+SAMPLE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
 ALL_PART = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 
 
@@ -55,15 +55,14 @@ def q_project_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part", *ALL_PART).withColumn(
-        "label_text", F.concat(F.col("p_name"), F.lit(", "), F.col("p_brand")))
-    path = write_csv(part, scratch_path(spark, "csv_roundtrip"))
-    return read_csv(spark, path, schema=part.schema)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars", deal_by="doc_id")
+    path = write_csv(docs, scratch_path(spark, "csv_roundtrip"))
+    return read_csv(spark, path, schema=docs.schema, multi_line=True)
 
 
 def q_sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part", *ALL_PART)
-    return sample_exact(part, SAMPLE_N, ["p_partkey"], SAMPLE_SEED)
+    lines = table(spark, sf_dir, "lineitem", *SAMPLE_COLUMNS)
+    return sample_exact(lines, SAMPLE_N, SAMPLE_COLUMNS[:4], SAMPLE_SEED)
 
 
 def q_ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +80,7 @@ def q_gd_univariate_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     trace = regression.descent_trace(part, "y", "x")
     return trace.select(F.col("iteration").cast("int").alias("iteration"),
                         rounded(F.col("beta"), 9).alias("beta"),
-                        rounded(F.col("cost"), 2).alias("cost"))
+                        rounded(F.col("cost"), 1).alias("cost"))
 
 
 def _line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +103,7 @@ def q_entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gd_independent_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _line_features(spark, sf_dir).select(
-        F.col("rating"), (F.col("rating_count") / F.lit(RATING_COUNT_UNIT)).alias("rating_count"),
+        F.col("rating"), (F.col("rating_count") / F.lit(PRICE_SUM_UNIT)).alias("rating_count"),
         F.col("min_install").cast("double").alias("min_install"), F.col("price"),
         F.col("max_install").cast("double").alias("y"))
     xs = ["rating", "rating_count", "min_install", "price"]
@@ -124,7 +123,7 @@ def q_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.corpus_counts(table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id"),
+    return text.corpus_counts(table(spark, sf_dir, "documents", "doc_id", "text", deal_by="doc_id"),
                               "text")
 
 
@@ -133,7 +132,7 @@ def q_name_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_tokens(spark: SparkSession, sf_dir: str, with_pos: bool = False) -> DataFrame:
-    return text.doc_tokens(table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id"),
+    return text.doc_tokens(table(spark, sf_dir, "documents", "doc_id", "text", deal_by="doc_id"),
                            "doc_id", "text", with_pos=with_pos)
 
 
@@ -154,25 +153,32 @@ def q_vocab_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.vocabulary(text.word_count(_doc_tokens(spark, sf_dir)), text.VOCAB_SIZE)
 
 
+def _written_vocabulary(tokens: DataFrame) -> DataFrame:
+    """The vocabulary as a table: joins to it go by its measured size."""
+    return write_table(text.vocabulary(text.word_count(tokens), text.VOCAB_SIZE), "vocabulary")
+
+
 def q_term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     toks = _doc_tokens(spark, sf_dir)
-    vocab = text.vocabulary(text.word_count(toks), text.VOCAB_SIZE)
-    tf = text.term_frequency(toks, vocab, text.VOCAB_SIZE)
+    tf = text.term_frequency(toks, _written_vocabulary(toks))
     return tf.select(F.col("id").alias("doc_id"), "idx", "tf")
 
 
 def q_char_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents", "doc_id", "source")
-    return text.char_frequency(d, "doc_id", "source")
+    vocab = _written_vocabulary(_doc_tokens(spark, sf_dir))
+    d = table(spark, sf_dir, "documents", "doc_id", "text", deal_by="doc_id")
+    return text.char_frequency(d, "doc_id", "text", vocab)
+
+
+def q_char_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.char_frequency(table(spark, sf_dir, "documents", "doc_id", "source"), "doc_id", "source")
 
 
 def q_holdout_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents", "doc_id", "text", spread_key="doc_id")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", deal_by="doc_id")
     train, test = hash_split(d, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
-    vocab = text.vocabulary(text.word_count(text.doc_tokens(train, "doc_id", "text", False)),
-                            text.VOCAB_SIZE)
-    test_toks = text.doc_tokens(test, "doc_id", "text", False)
-    tf = text.term_frequency(test_toks, vocab, text.VOCAB_SIZE)
+    vocab = _written_vocabulary(text.doc_tokens(train, "doc_id", "text", False))
+    tf = text.term_frequency(text.doc_tokens(test, "doc_id", "text", False), vocab)
     return tf.select(F.col("id").alias("doc_id"), "idx", "tf")
 
 
@@ -189,10 +195,16 @@ def q_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_keyed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
     ids = keys.key_index(part, "p_name", ["p_partkey"])
-    rows = part.join(ids, "p_name")
-    feats = rows.select("id", "p_size")
-    labels = rows.select("id", prefix_label("p_name", LABEL_PREFIX).alias("label"))
-    return keys.join_fanout(feats, labels, "id")
+    feats = part.join(ids, "p_name").select("id", "p_size")
+    labels = ids.select("id", prefix_label("p_name", LABEL_PREFIX).alias("label"))
+    return keys.keyed_join(feats, labels, "id")
+
+
+def q_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the labelled ones, by language."""
+    d = table(spark, sf_dir, "documents", "doc_id", "lang")
+    labelled = d.join(table(spark, sf_dir, "labels", "doc_id"), "doc_id")
+    return keys.join_fanout(d, labelled, "lang")
 
 
 def q_keyed_join_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,12 +214,12 @@ def q_keyed_join_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_doc_tag_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread_key="doc_id"))
+    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang", deal_by="doc_id"))
     return docs.parse_doc_tags(lines, keep=["src_id"])
 
 
 def q_doc_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang", spread_key="doc_id"))
+    lines = doc_lines(table(spark, sf_dir, "documents", "doc_id", "text", "lang", deal_by="doc_id"))
     parsed = filter_late(docs.parse_doc_tags(lines), lambda r: r["doc_id"].isNotNull())
     words = parsed.select("doc_id", F.size(letter_token_array("text")).cast("bigint").alias("n_words"))
     return docs.sort_desc_positions(words, "doc_id")
@@ -218,35 +230,39 @@ def _logit_inputs(spark: SparkSession, sf_dir: str):
 
     The tokenized labeled documents feed both the vocabulary and the term
     frequencies, so they are persisted (the caller releases them once the
-    examples are consumed); the K-row vocabulary is written as a table so
-    nothing downstream depends on the text lineage.
+    examples are consumed); they are partitioned by document, so nothing that
+    is grouped by document is shuffled again. The vocabulary is written as a
+    table, so nothing downstream depends on the text lineage.
     """
     lab = labeled_docs(spark, sf_dir).select(
         "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("y")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     toks = explode_items(lab, [F.col("doc_id").alias("id")], F.col("tokens"), "token")
-    vocab = write_table(text.vocabulary(text.word_count(toks), LOGIT_VOCAB), "logit-vocab")
-    tf = text.term_frequency(toks, vocab, LOGIT_VOCAB)
-    ex = logistic.build_examples(tf, lab.select(F.col("doc_id").alias("id"), "y"))
+    vocab = _written_vocabulary(toks)
+    ex = logistic.build_examples(text.term_frequency(toks, vocab), lab.select(F.col("doc_id").alias("id"), "y"))
     return ex, vocab, lab
 
 
 def _logit_fit(spark: SparkSession, sf_dir: str):
     ex, vocab, lab = _logit_inputs(spark, sf_dir)
     try:
-        fit = logistic.fit_logistic(ex, LOGIT_VOCAB, init=LOGIT_INIT)
+        fit = logistic.fit_logistic(ex, vocab, init=LOGIT_INIT)
     finally:
         lab.unpersist()
     return vocab, fit
 
 
-def q_logit_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, fit = _logit_fit(spark, sf_dir)
+def _rounded_trace(fit: logistic.LogisticFit) -> DataFrame:
     return fit.trace.select("iteration", rounded(F.col("loss"), 9).alias("loss"),
                             rounded(F.col("acc"), 9).alias("acc"),
                             rounded(F.col("grad_norm"), 9).alias("grad_norm"))
 
 
+def q_logit_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fit = _logit_fit(spark, sf_dir)
+    return _rounded_trace(fit)
+
+
 def q_logit_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab, fit = _logit_fit(spark, sf_dir)
     return fit.weights.join(vocab.select("word", "idx"), "idx").select(
@@ -257,11 +273,11 @@ def _logit_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-document predictions of the fitted model, written to the shared
     folder while the examples are still persisted (no second pass over the
     documents to rebuild them)."""
-    ex, _, lab = _logit_inputs(spark, sf_dir)
+    ex, vocab, lab = _logit_inputs(spark, sf_dir)
     ex = ex.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fit = logistic.fit_logistic(ex, LOGIT_VOCAB, init=LOGIT_INIT, persist=False)
-        return write_table(logistic.predict_logistic(ex, fit.weights, LOGIT_VOCAB), "logit-pred")
+        fit = logistic.fit_logistic(ex, vocab, init=LOGIT_INIT, persist=False)
+        return write_table(logistic.predict_logistic(ex, fit.weights), "logit-pred")
     finally:
         ex.unpersist()
         lab.unpersist()
@@ -284,6 +300,51 @@ def q_confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                     rounded(F.col("f1"), 9).alias("f1"))
 
 
+def _finite_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App records cleaned for fits: a NaN or infinite field drops its line."""
+    return clean.clean_rows(app_lines(table(spark, sf_dir, "part", *ALL_PART)), finite_only=True)
+
+
+def q_line_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares (iteration -1: slope and intercept) and descent (each
+    step's slope and cost) of rating by installs on cleaned lines."""
+    rows = _finite_lines(spark, sf_dir)
+    line = regression.ols_fit(rows, "rating", "max_install").select(
+        F.lit(-1).alias("iteration"), rounded(F.col("slope"), 7).alias("slope"),
+        rounded(F.col("intercept"), 7).alias("value"))
+    steps = regression.descent_trace(rows, "rating", "max_install").select(
+        F.col("iteration").cast("int").alias("iteration"), rounded(F.col("beta"), 7).alias("slope"),
+        rounded(F.col("cost"), 1).alias("value"))
+    return line.unionAll(steps)
+
+
+def q_line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned lines rolled up per app, then the four-feature descent."""
+    f = aggregate.entity_features(_finite_lines(spark, sf_dir)).select(
+        "rating", (F.col("rating_count") / PRICE_SUM_UNIT).alias("rating_count"),
+        F.col("min_install").cast("double").alias("min_install"), (F.col("price") / PRICE_SUM_UNIT).alias("price"),
+        F.col("max_install").cast("double").alias("y"))
+    xs = ["rating", "rating_count", "min_install", "price"]
+    trace = regression.independent_descent_trace(f, "y", xs)
+    return trace.select(F.col("iteration").cast("int").alias("iteration"),
+                        *[rounded(F.col(f"beta_{x}"), 9).alias(f"beta_{x}") for x in xs],
+                        rounded(F.col("cost"), 3).alias("cost"))
+
+
+def q_name_logit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the cleaned lines' app names, labelled by prefix, fitted."""
+    words = text.name_words(_finite_lines(spark, sf_dir), "app").select(
+        F.col("name").alias("id"), F.col("word").alias("token")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        vocab = _written_vocabulary(words)
+        labels = words.select("id").distinct().select("id", prefix_label("id", LABEL_PREFIX).alias("y"))
+        fit = logistic.fit_logistic(logistic.build_examples(text.term_frequency(words, vocab), labels), vocab,
+                                    init=LOGIT_INIT)
+    finally:
+        words.unpersist()
+    return _rounded_trace(fit)
+
+
 def q_multiclass_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = table(spark, sf_dir, "labels", "quality", "toxic")
     pred = lab.select(F.col("quality").alias("label"),
@@ -293,18 +354,34 @@ def q_multiclass_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                     rounded(F.col("weighted_f1"), 9).alias("weighted_f1"))
 
 
-def q_svm_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Tokenized labeled documents feed the vocabulary, the training vectors and
-    # the test vectors: persisted once, released once the metrics are written.
+def _svm_halves(spark: SparkSession, sf_dir: str):
+    """(labeled token rows to release, train vectors, test vectors) over the
+    train half's vocabulary. The rows feed the vocabulary and both halves'
+    vectors: persisted once, released by the caller."""
     lab = labeled_docs(spark, sf_dir).select(
         "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("labels")
     ).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = hash_split(lab, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
+    toks = explode_items(train, ["doc_id"], F.col("tokens"), "token")
+    words = svm.vocab_words(text.vocabulary(text.word_count(toks), text.VOCAB_SIZE))
+    return lab, svm.tf_vectors(train, words), svm.tf_vectors(test, words)
+
+
+def q_svm_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the vectors that the SVM is fitted and scored on."""
+    lab, train, test = _svm_halves(spark, sf_dir)
+    try:
+        rows = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+        entries = svm.sparse_entries(rows, ["doc_id", "split", F.col("labels").alias("label")])
+        return write_table(entries.withColumn("tf", F.col("tf").cast("bigint")), "svm-features")
+    finally:
+        lab.unpersist()
+
+
+def q_svm_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lab, train, test = _svm_halves(spark, sf_dir)
     try:
-        train, test = hash_split(lab, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
-        toks = explode_items(train, ["doc_id"], F.col("tokens"), "token")
-        words = svm.vocab_words(text.vocabulary(text.word_count(toks), text.VOCAB_SIZE))
-        model = svm.fit_svm(svm.tf_vectors(train, words), label="labels")
-        scored = svm.evaluate_svm(model, svm.tf_vectors(test, words), label="labels")
+        scored = svm.evaluate_svm(svm.fit_svm(train, label="labels"), test, label="labels")
         return write_table(scored.select(F.col("n").alias("n_test"),
                                          rounded(F.col("accuracy"), 9).alias("accuracy"),
                                          rounded(F.col("weighted_f1"), 9).alias("weighted_f1")),
@@ -333,10 +410,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab_index": q_vocab_index,
     "term_frequency": q_term_frequency,
     "char_frequency": q_char_frequency,
+    "char_counts": q_char_counts,
     "holdout_features": q_holdout_features,
     "prefix_label": q_prefix_label,
     "key_index": q_key_index,
     "keyed_join": q_keyed_join,
+    "join_fanout": q_join_fanout,
     "keyed_join_sorted": q_keyed_join_sorted,
     "doc_tag_parse": q_doc_tag_parse,
     "doc_sort_desc": q_doc_sort_desc,
@@ -345,6 +424,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logit_predict": q_logit_predict,
     "top_coefficients": q_top_coefficients,
     "confusion_metrics": q_confusion_metrics,
+    "line_fit": q_line_fit,
+    "line_features": q_line_features,
+    "name_logit": q_name_logit,
     "multiclass_metrics": q_multiclass_metrics,
+    "svm_features": q_svm_features,
     "svm_eval": q_svm_eval,
 }

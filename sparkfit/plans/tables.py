@@ -12,39 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
-          spread_key: str | None = None) -> DataFrame:
+# Setting of the session that names the partitions to deal a table's rows over
+# before CPU-heavy row work; for small files in one row group, which scan as one
+# task. Unset, a table keeps the partitions of its scan.
+INPUT_PARTITIONS = "spark.sparkfit.inputPartitions"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str, deal_by: str | None = None) -> DataFrame:
     """One driver table; naming columns keeps the scan's ReadSchema narrow.
 
-    ``spread_key``: for CPU-heavy row work (tokenizing text), see ``spread``.
+    ``deal_by``: the column to deal rows by if ``INPUT_PARTITIONS`` is set.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*cols) if cols else df
-    return spread(df, spread_key) if spread_key else df
-
-
-# At most this many pieces per input split when spreading: a single Parquet
-# row group (the unit a scan cannot split) is at most about a gigabyte, so it
-# becomes pieces of ~16 MB rather than thousands of tiny tasks on a large cluster.
-SPREAD_PER_SPLIT = 64
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan over the cluster's cores when it has fewer splits.
-
-    A small file in one row group scans as one task, so per-row work before
-    the first shuffle would run on one core. At scale the scan already has
-    many more splits than cores and this returns ``df`` unchanged (no shuffle).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:           # no JVM handles (e.g. a remote session): leave as is
-        return df
-    target = min(cores, SPREAD_PER_SPLIT * max(splits, 1))
-    if splits >= target:
-        return df
-    return df.repartition(target, key)
+    partitions = spark.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(partitions), deal_by) if deal_by and partitions else df
 
 
 # The header line of the derived app-record file, and the way
@@ -108,8 +90,9 @@ def doc_lines(documents: DataFrame) -> DataFrame:
 def labeled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text, quality, toxic): documents that carry labels.
 
-    Joined first, then spread, so only labeled text moves when spreading.
+    Partitioned by doc_id once, before the join: a sort-merge join uses the
+    partitioning and a broadcast join keeps it, and so does all that is grouped
+    by document later.
     """
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
-    return spread(docs.join(labels, "doc_id", "inner"), "doc_id")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").repartition("doc_id")
+    return docs.join(table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"), "doc_id")
