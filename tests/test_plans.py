@@ -47,11 +47,11 @@ def test_tokenizer_not_pushed_below_spreading_shuffle(spark):
 
 
 def test_logistic_step_adds_no_shuffle_or_sort_under_the_window(spark):
-    ex, _, lab = Q._logit_inputs(spark, SF_SMALL)
+    ex, vocab, lab = Q._logit_inputs(spark, SF_SMALL)
     ex = ex.persist()
     try:
         ex.count()
-        scored = L.score_rows(ex, L.start_weights(spark, Q.LOGIT_VOCAB, 0.01), Q.LOGIT_VOCAB)
+        scored = L.score_rows(ex, L.start_weights(vocab, 0.01))
         txt = plan_of(scored.groupBy("idx").agg(F.sum("p")))
     finally:
         ex.unpersist()
@@ -66,3 +66,53 @@ def test_no_cartesian_or_nested_loop_joins(spark):
                 "multiclass_metrics", "holdout_features", "key_index", "row_counts"]:
         txt = plan_of(Q.QUERIES[key](spark, SF_SMALL))
         assert "CartesianProduct" not in txt and "NestedLoopJoin" not in txt, key
+
+
+def test_join_reads_features_and_labels(spark):
+    txt = plan_of(Q.q_keyed_join(spark, SF_SMALL))
+    assert "p_size" in txt and "label" in txt
+
+
+def test_building_labeled_docs_runs_no_job(spark):
+    from sparkfit.plans.tables import labeled_docs
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tracker, group = spark.sparkContext.statusTracker(), "building-labeled-docs"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        df = labeled_docs(spark, SF_SMALL)
+        plan = plan_of(df)
+        assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
+        jobs = [j for j in tracker.getJobIdsForGroup(group)]
+        # Reading a table's schema from its footer is the only job: no shuffle stage.
+        for j in jobs:
+            assert len(tracker.getJobInfo(j).stageIds) == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_rdd_and_no_forced_broadcast_of_vocabularies():
+    import glob
+    import os
+    from conftest import ROOT
+    for name in glob.glob(os.path.join(ROOT, "sparkfit", "**", "*.py"), recursive=True):
+        source = open(name).read()
+        assert not re.search(r"\.rdd\b|localCheckpoint", source), name
+
+
+def test_svm_fit_keeps_the_input_s_partitions(spark, monkeypatch):
+    from sparkfit.operators import svm
+    seen = []
+
+    class Probe:
+        def __init__(self, **params):
+            pass
+
+        def fit(self, data):
+            seen.append(data.select(F.spark_partition_id().alias("p")).distinct().count())
+
+    monkeypatch.setattr(svm, "LinearSVC", Probe)
+    rows = spark.range(0, 100, 1, 6).select(F.col("id").alias("features"), F.lit(1).alias("labels"))
+    svm.fit_svm(rows)
+    svm.fit_svm(rows, partitions=2)
+    assert seen == [6, 2]

@@ -54,10 +54,53 @@ def test_sort_desc_positions_text_order(spark):
     assert [r["doc_id"] for r in out] == sorted(["9", "10", "AU1", "b"], reverse=True)
 
 
-def test_spread_only_when_under_partitioned(spark):
-    from sparkfit.plans.tables import spread
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 100, 1, numPartitions=1)
-    assert spread(one, "id").rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, numPartitions=cores * 2)
-    assert spread(many, "id") is many
+def test_tables_are_dealt_only_where_the_session_says(spark):
+    from conftest import SF_SMALL
+    from sparkfit.plans.tables import INPUT_PARTITIONS, table
+    whole = table(spark, SF_SMALL, "documents", "doc_id", deal_by="doc_id")
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(INPUT_PARTITIONS, "6")
+    try:
+        dealt = table(spark, SF_SMALL, "documents", "doc_id", deal_by="doc_id")
+        assert "hashpartitioning(doc_id" in dealt._jdf.queryExecution().executedPlan().toString()
+        assert sorted(dealt.collect()) == sorted(whole.collect())
+    finally:
+        spark.conf.unset(INPUT_PARTITIONS)
+
+
+def test_csv_round_trip_is_value_for_value(spark, tmp_path):
+    texts = ["  lead and trail  ", "", None, "line\nbreak", "two\r\nbreaks\n", 'a "quoted", part', "\ttab\t",
+             "back\\slash", "'single'", "null", " ", "é 中 🎉", '"', ",", "\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, t STRING")
+    path = write_csv(df, str(tmp_path / "out"))
+    back = read_csv(spark, path, schema=df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == list(enumerate(texts))
+
+
+def test_csv_reads_fail_rather_than_lose_values(spark, tmp_path):
+    import pytest
+    (tmp_path / "bad.csv").write_text("id,n\n1,2\n2,text\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(tmp_path / "bad.csv"), schema="id INT, n INT").collect()
+
+
+def test_exact_sample_is_the_first_by_hash_whatever_the_cut(spark):
+    from sparkfit.sources import sample_exact, sample_key
+    df = spark.range(0, 5000).withColumnRenamed("id", "k")
+    order = [r["k"] for r in df.orderBy(sample_key(["k"], 9)).collect()]
+    for n in (0, 1, 37, 4999, 5000, 9000):
+        assert {r["k"] for r in sample_exact(df.repartition(5), n, ["k"], seed=9).collect()} == set(order[:n])
+
+
+def test_scratch_is_removed_through_sql(spark):
+    from sparkfit.session import drop_table
+    t = write_table(spark.range(5), "probe-drop")
+    name = [x.name for x in spark.catalog.listTables(spark_db(spark)) if "probe_drop" in x.name]
+    assert len(name) == 1 and t.count() == 5
+    drop_table(t)
+    assert not [x for x in spark.catalog.listTables(spark_db(spark)) if "probe_drop" in x.name]
+
+
+def spark_db(spark):
+    from sparkfit.session import scratch_database
+    return scratch_database(spark)
