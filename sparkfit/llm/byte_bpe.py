@@ -196,7 +196,7 @@ class Codec:
 
     def __init__(self, ranks: Ranks):
         self.ranks = ranks
-        self.encode = ChunkedEncoder(lambda cs: in_batches(cs, self._chunks, 1 << 20, 1 << 16))
+        self.encoder = ChunkedEncoder(lambda cs: in_batches(cs, self._chunks, 1 << 20, 1 << 16))
         top = max(ranks.tokens) + 1
         self.tokens = [ranks.tokens.get(i, b"") for i in range(top)]
 
@@ -210,13 +210,18 @@ class Codec:
         ids = dict(zip(distinct, merge_pieces([d.encode() for d in distinct], self.ranks), strict=True))
         return [b"".join([ids[piece] for piece in pieces]) for pieces in cut]
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids (unsigned 32-bit) of each text; a null text is an empty one."""
+        ids, counts = self.encoder(texts)
+        return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 def with_codec(docs: DataFrame, vocabulary: str, pattern: str, text_col: str, carried: list[str],
                fields: str, digest) -> DataFrame:
-    """Rows (*carried, *fields): ``digest(codec, texts) -> arrays`` over all
+    """Rows (*carried, *fields): ``digest(codec, Arrow texts) -> arrays`` over all
     documents. ``vocabulary`` is the rank file's path on the driver; its content
     (bounded) goes to the tasks with the function."""
     spark = docs.sparkSession
@@ -227,8 +232,7 @@ def with_codec(docs: DataFrame, vocabulary: str, pattern: str, text_col: str, ca
         own = once_per_process(shared.value, Codec.parse, pattern)
         for batch in batches:
             for part in slices_by_bytes(batch, "t"):
-                texts = [t or "" for t in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], *digest(own, texts)], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *digest(own, part.column(0))], names=names)
 
     # Columns travel by place, so their names cannot clash.
     places = [f"c{i}" for i in range(len(carried))]
@@ -239,7 +243,8 @@ def with_codec(docs: DataFrame, vocabulary: str, pattern: str, text_col: str, ca
     return rows.mapInArrow(run, schema).toDF(*carried, *names[len(places):])
 
 
-def _hexes(values: list[bytes]) -> pa.Array:
+def _hexes(values: list) -> pa.Array:
+    """SHA-256 of bytes, or of arrays' bytes (ids are little-endian)."""
     return pa.array([hashlib.sha256(x).hexdigest() for x in values], type=pa.string())
 
 
@@ -247,11 +252,11 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
                      text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(id, *keep, n_tokens, ids array<int>, ids_sha256, decoded_sha256) of
     every document's whole text."""
-    def digest(own: Codec, texts: list[str]) -> list[pa.Array]:
+    def digest(own: Codec, texts: pa.Array) -> list[pa.Array]:
         ids = own.encode(texts)
-        n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        n = np.array([len(x) for x in ids], dtype=np.int64)
         ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-        flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+        flat = pa.array(np.concatenate(ids).astype(np.int32))
         return [pa.array(n), pa.ListArray.from_arrays(pa.array(ends), flat), _hexes(ids),
                 _hexes([own.decode(x) for x in ids])]
     return with_codec(docs, vocabulary, pattern, text_col, [id_col, *(keep or [])],
@@ -263,9 +268,9 @@ def encode_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
     """(id, n_tokens, ids_sha256, decoded_sha256): hashes of the ids as
     little-endian unsigned 32-bit integers, and of the bytes decoded from them.
     Only the digests leave the task."""
-    def digest(own: Codec, texts: list[str]) -> list[pa.Array]:
+    def digest(own: Codec, texts: pa.Array) -> list[pa.Array]:
         ids = own.encode(texts)
-        return [pa.array([len(x) // 4 for x in ids], type=pa.int64()), _hexes(ids),
+        return [pa.array([len(x) for x in ids], type=pa.int64()), _hexes(ids),
                 _hexes([own.decode(x) for x in ids])]
     return with_codec(docs, vocabulary, pattern, text_col, [id_col],
                       "n_tokens bigint, ids_sha256 string, decoded_sha256 string", digest)

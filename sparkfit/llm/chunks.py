@@ -12,21 +12,31 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # Before a blank with something other than white space behind it. Byte-level
 # patterns give the blank to the piece behind it and end the piece before it.
 BEFORE_BLANK = re.compile(r" (?=\S)")
-# At blanks and line feeds; for tokenizers that drop white space.
-AT_BLANKS = re.compile(r"[ \n]+")
+# Stands for: at blanks and line feeds, for tokenizers that drop white space.
+AT_BLANKS = "blanks"
 
-MAX_CHUNKS = 250_000        # of a generation; about 60 MB with their ids
+MAX_CHUNKS = 300_000        # of a generation; about 60 MB with their ids
 LONGEST_KEPT = 128          # code points; longer chunks are encoded every time
+ENDINGS = ",."              # taken off words: a piece of letters ends before them
 
 
 class ChunkCache:
-    """chunk -> value, filled by ``encode(list of chunks) -> list of values``."""
+    """chunk -> value, filled by ``encode(list of chunks) -> list of values``.
+
+    ``endings``: value of each of ``ENDINGS`` alone. A chunk that ends with one
+    behind an ASCII letter is then the chunk without it and the ending, so a
+    word is encoded once whatever follows it.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = MAX_CHUNKS):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = MAX_CHUNKS, endings: dict | None = None):
+        self.encode, self.limit, self.endings = encode, limit, endings or {}
         self.young: dict = {}
         self.old: dict = {}
         self.passing: list[str] = []
@@ -35,36 +45,97 @@ class ChunkCache:
         """A dict that has all of ``chunks``, valid until the next call."""
         for c in self.passing:
             self.young.pop(c, None)
+        self.passing = []
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
+        new = self._recall(chunks)
+        ended = [c for c in new if c[-1:] in self.endings and len(c) > 1 and c[-2].isascii() and c[-2].isalpha()]
+        if ended:
+            new = self._recall(new.difference(ended).union([c[:-1] for c in ended]))
+        fresh = list(new)
+        self.young.update(zip(fresh, self.encode(fresh), strict=True))
+        self.young.update([(c, self.young[c[:-1]] + self.endings[c[-1]]) for c in ended])
+        self.passing = [c for c in (*fresh, *ended) if len(c) > LONGEST_KEPT]
+        return self.young
+
+    def _recall(self, chunks: set[str]) -> set[str]:
+        """Chunks that neither generation has; those of the old one are young again."""
         missing = chunks.difference(self.young)
         known = missing.intersection(self.old)
-        self.young.update((c, self.old[c]) for c in known)
-        new = list(missing.difference(known))
-        self.young.update(zip(new, self.encode(new), strict=True))
-        self.passing = [c for c in new if len(c) > LONGEST_KEPT]
-        return self.young
+        self.young.update([(c, self.old[c]) for c in known])
+        return missing.difference(known)
+
+
+def distinct_parts(cut: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(first part of each row, number of every part, the distinct parts)."""
+    offsets = cut.offsets.to_numpy()
+    parts = cut.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0]))
+    coded = pc.dictionary_encode(parts)
+    return offsets[:-1] - offsets[0], coded.indices.to_numpy(), coded.dictionary
+
+
+def as_list(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
 
 
 class ChunkedEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+    """Ids of Arrow arrays of texts.
 
-    ``encode(list of strings) -> list of id bytes``. A text is cut before
-    blanks; all chunks but the first begin with the blank that was cut at.
+    ``encode(strings) -> list of id bytes`` (little-endian unsigned 32-bit);
+    ``encode_words`` the same for strings that all begin with a blank and go on
+    with something else. A text is cut before its blanks, distinct chunks go
+    through a cache, and the ids are gathered by arrays.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = MAX_CHUNKS):
-        self.head = ChunkCache(encode, max(1, limit // 5))
-        self.tail = ChunkCache(lambda cs: encode([" " + c for c in cs]), limit)
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [BEFORE_BLANK.split(t) for t in texts]
-        head = self.head.resolve({c[0] for c in cut})
-        rest: set[str] = set()
-        for c in cut:
-            rest.update(c[1:])
-        tail = self.tail.resolve(rest).__getitem__
-        return [head[c[0]] + b"".join(map(tail, c[1:])) for c in cut]
+    def __init__(self, encode: Callable[[list[str]], list[bytes]],
+                 encode_words: Callable[[list[str]], list[bytes]] | None = None, limit: int = MAX_CHUNKS):
+        words, endings = encode_words or encode, dict(zip(ENDINGS, encode(list(ENDINGS)), strict=True))
+        self.head = ChunkCache(encode, max(1, limit // 8), endings)
+        self.tail = ChunkCache(lambda cs: words([" " + c for c in cs]), limit, endings)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each text);
+        a null text is an empty one."""
+        if not len(texts):
+            return np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64)
+        firsts, number, distinct = distinct_parts(pc.split_pattern(texts.fill_null(""), " "))
+        words = as_list(distinct)
+        heads = as_list(distinct.take(pa.array(number[firsts])))
+        # A blank with white space behind it is no place to cut: texts that have
+        # one are put together from regular cuts, as if they were one chunk.
+        odd = pc.or_(pc.equal(pc.binary_length(distinct), 0),
+                     pc.utf8_is_space(pc.utf8_slice_codeunits(distinct, 0, 1))).to_numpy(zero_copy_only=False)
+        slow, wanted = {}, set(words)
+        if odd.any():
+            wanted = {words[i] for i in np.flatnonzero(~odd).tolist()}
+            unsafe = odd[number]
+            unsafe[firsts] = False
+            for i in np.flatnonzero(np.logical_or.reduceat(unsafe, firsts)).tolist():
+                heads[i], *slow[i] = BEFORE_BLANK.split(texts[i].as_py())
+                wanted.update(slow[i])
+        head, tail = self.head.resolve(set(heads)), self.tail.resolve(wanted)
+        if odd.any():
+            values = [tail.get(w, b"") for w in words]
+        else:
+            values = list(map(tail.__getitem__, words))
+        starting = list(map(head.__getitem__, heads))
+        for i, rest in slow.items():
+            starting[i] += b"".join(map(tail.__getitem__, rest))
+        values += starting
+        ids = np.frombuffer(b"".join(values), dtype="<u4")
+        sizes = np.fromiter(map(len, values), dtype=np.int32, count=len(values)) >> 2
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        # The first chunk of a text stands for itself, or for the whole text.
+        number = number.copy()
+        last = np.append(firsts[1:], len(number))
+        number[firsts] = len(words) + np.arange(len(firsts))
+        taken = sizes[number]
+        for i in slow:
+            taken[firsts[i] + 1:last[i]] = 0
+        before = np.cumsum(taken, dtype=np.int64) - taken
+        at = np.repeat(starts[number] - before, taken)
+        at += np.arange(len(at))
+        return ids[at], np.add.reduceat(taken, firsts, dtype=np.int64)
 
 
 def in_batches(strings: list[str], encode: Callable[[list[str]], list], target: int = 1 << 18,

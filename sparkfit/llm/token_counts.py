@@ -15,11 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfit.llm.chunks import ChunkCache, in_batches
+from sparkfit.llm.chunks import AT_BLANKS, ENDINGS, ChunkCache, as_list, distinct_parts, in_batches
 from sparkfit.llm.common import ship, slices_by_bytes
 from sparkfit.llm.vocab import LibraryTokenizer, PieceTokenizer, once_per_process, shared_file
 
@@ -27,22 +29,25 @@ BATCH_CHARS = 1 << 18       # characters of a call of the library
 
 
 class Counter:
-    """Token counts of texts; chunks that recur are encoded once."""
+    """Token counts of Arrow arrays of texts; chunks that recur are encoded once."""
 
     def __init__(self, tokenizer):
-        self.cut = tokenizer.cut
+        self.whole = tokenizer.cut is not AT_BLANKS
         self.encode = lambda strings: in_batches(strings, tokenizer.counts, BATCH_CHARS)
-        self.cache = ChunkCache(self.encode)
-
-    def __call__(self, texts: list[str]) -> list[int]:
-        if self.cut is None:
-            return self.encode(texts)
-        chunks = [self.cut.split(t) for t in texts]
-        distinct: set[str] = set()
-        for c in chunks:
-            distinct.update(c)
-        known = self.cache.resolve(distinct).__getitem__
-        return [sum(map(known, c)) for c in chunks]
+        self.cache = ChunkCache(self.encode, endings=None if self.whole else
+                                dict(zip(ENDINGS, self.encode(list(ENDINGS)), strict=True)))
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        texts = texts.fill_null("")
+        if self.whole:
+            return np.array(self.encode(texts.to_pylist()), dtype=np.int64)
+        if not len(texts):
+            return np.empty(0, dtype=np.int64)
+        firsts, number, distinct = distinct_parts(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))
+        words = as_list(distinct)
+        known = self.cache.resolve(set(words))
+        counts = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+        return np.add.reduceat(counts[number], firsts)
 
 
 def json_counter(content: bytes) -> Counter:
@@ -67,8 +72,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
         counter = once_per_process(shared.value, build)
         for batch in batches:
             for part in slices_by_bytes(batch, "t"):
-                n = counter([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, type=pa.int64())],
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(counter(part.column(1)))],
                                                  names=["i", "n_bytes", "n_tokens"])
 
     id_type = dict(docs.select(id_col).dtypes)[id_col]

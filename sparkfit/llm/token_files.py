@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkfit.llm.chunks import ChunkedEncoder, in_batches
+from sparkfit.llm.chunks import BEFORE_BLANK, ChunkedEncoder, in_batches
 from sparkfit.llm.common import ship, slices_by_bytes
 from sparkfit.llm.vocab import LibraryTokenizer, once_per_process, shared_file
 
-ROW_GROUP_BYTES = 64 << 20
+ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2000
 WRITER_OPTIONS = {
@@ -53,19 +53,26 @@ FILE_SCHEMA = "part int, doc_id {id_type}, start bigint, n_tokens bigint, ids ar
 
 
 class DocumentEncoder:
-    """Ids (little-endian unsigned 32-bit) of texts, each with the end id."""
+    """Ids of Arrow arrays of texts, each text with the end id."""
 
     def __init__(self, tokenizer: LibraryTokenizer):
         def encode(strings: list[str]) -> list[bytes]:
             return in_batches(strings, tokenizer.ids)
-        self.encode = encode if tokenizer.cut is None else ChunkedEncoder(encode)
 
-    def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        def encode_words(strings: list[str]) -> list[bytes]:
+            return in_batches(strings, tokenizer.word_ids, longest=1 << 16)
+        self.chunked = ChunkedEncoder(encode, encode_words) if tokenizer.cut is BEFORE_BLANK else None
+        self.encode = encode
+
+    def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, ids of each text)."""
-        end = end_id.to_bytes(4, "little")
-        found = [ids + end for ids in self.encode(texts)]
-        counts = np.fromiter((len(x) // 4 for x in found), dtype=np.int64, count=len(found))
-        return np.frombuffer(b"".join(found), dtype="<i4"), counts
+        if self.chunked:
+            ids, counts = self.chunked(texts)
+        else:
+            found = self.encode(texts.fill_null("").to_pylist())
+            counts = np.fromiter((len(x) // 4 for x in found), dtype=np.int64, count=len(found))
+            ids = np.frombuffer(b"".join(found), dtype="<u4")
+        return np.insert(ids, np.cumsum(counts), end_id).astype("<i4"), counts + 1
 
 
 def document_encoder(content: bytes) -> DocumentEncoder:
@@ -90,7 +97,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         before = 0
         for batch in batches:
             for part in slices_by_bytes(batch, "t"):
-                ids, counts = encoder([t or "" for t in part.column(1).to_pylist()], end_id)
+                ids, counts = encoder(part.column(1), end_id)
                 ends = np.cumsum(counts)
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(

@@ -13,6 +13,7 @@ import re
 from array import array
 from collections.abc import Callable
 
+import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
@@ -46,7 +47,7 @@ def _is_local(normalizer: dict | None) -> bool:
     return normalizer["type"] in LOCAL_NORMALIZERS
 
 
-def safe_cut(spec: dict) -> re.Pattern | None:
+def safe_cut(spec: dict) -> re.Pattern | str | None:
     """Where texts can be cut without changing a token, or None if that isn't
     known: then texts are encoded whole. Tokens added to the vocabulary must
     not hold or absorb white space."""
@@ -76,7 +77,30 @@ class LibraryTokenizer:
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cut = safe_cut(json.loads(content))
+        spec = json.loads(content)
+        self.cut = safe_cut(spec)
+        if self.cut is BEFORE_BLANK:
+            # Bytes of each token: a character of a byte-level token is a byte.
+            sizes = {i: len(t) for t, i in spec["model"]["vocab"].items()} \
+                | {t["id"]: len(t["content"].encode()) for t in spec.get("added_tokens") or []}
+            self.sizes = np.zeros(max(sizes) + 1, dtype=np.int64)
+            self.sizes[list(sizes)] = list(sizes.values())
+
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of strings that each begin with a blank and something behind it:
+        encoded as one string, since no token goes over such a blank, and taken
+        apart again by the tokens' bytes."""
+        if not words:
+            return []
+        found = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, dtype="<u4")
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), dtype=np.int64, count=len(words)))
+        upto = np.cumsum(self.sizes[ids])
+        cuts = np.searchsorted(upto, ends)
+        if len(upto) <= int(cuts[-1]) or (upto[cuts] != ends).any():
+            return self.ids(words)
+        raw, cuts = ids.tobytes(), [0, *((cuts + 1) * 4).tolist()]
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def ids(self, strings: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
