@@ -36,8 +36,9 @@ def sparse_entries(df: DataFrame, keep: list[str], features: str = "features") -
     as they are stored, so a vector costs its entries and not its size."""
     parts = F.from_json(F.to_json(F.struct(F.col(features).alias("v"))),
                         "v STRUCT<indices: ARRAY<INT>, values: ARRAY<DOUBLE>>")
-    return df.select(*keep, parts["v"].alias("v")) \
-        .select(*keep, F.inline(F.arrays_zip(F.col("v.indices").alias("idx"), F.col("v.values").alias("tf"))))
+    rows = df.select(*keep, parts["v"].alias("v"))
+    return rows.select(*rows.columns[:-1], F.inline(F.arrays_zip(
+        F.col("v.indices").alias("idx"), F.col("v.values").alias("tf"))))
 
 
 def fit_svm(train: DataFrame, features: str = "features", label: str = "labels",

@@ -162,3 +162,27 @@ def test_finite_only_drops_nan_and_inf(spark):
     out = clean_rows(lines_df(spark, [rec("A1"), rec("A2", r="NaN"), rec("A3", pr="-inf")]),
                      finite_only=True).collect()
     assert [r["app"] for r in out] == ["A1"]
+
+
+def test_readme_flow(spark, tmp_path):
+    """The README's flow on small files with a NaN line: every figure is finite."""
+    import os
+    import re
+
+    from conftest import ROOT
+    apps = ["app,a,b,rating,rc,x,mi,ma,y,price"]
+    apps += [rec(f"{'AU' if i % 2 else 'Bo'} app{i % 7}", r=str(1 + i % 5), mi=str(i % 3), ma=str(10 * (1 + i % 5)))
+             for i in range(40)] + [rec("Nan app", r="NaN")]
+    docs = [f'<doc id="{"AU" if i % 2 else "Bx"}{i}" url="u" title="t">{"alpha beta" if i % 2 else "gamma beta"} w</doc>'
+            for i in range(60)]
+    for name, lines in (("apps.csv", apps), ("docs.txt", docs)):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    code = re.search(r"```python\n(.*?)```", open(os.path.join(ROOT, "README.md")).read(), re.S)[1]
+    code = code.replace('spark = build_session("local[*]")', "").replace("clear_scratch(spark)", "")
+    code = code.replace('"apps.csv"', f'"{tmp_path}/apps.csv"').replace('"docs.txt"', f'"{tmp_path}/docs.txt"')
+    names = {"spark": spark}
+    exec(compile(code, "README", "exec"), names)
+    from sparkfit.operators import descent_trace, ols_fit
+    line = ols_fit(names["rows"], "rating", "max_install").first()
+    assert line["n"] == 40 and math.isfinite(line["slope"])
+    assert all(math.isfinite(t["cost"]) for t in descent_trace(names["rows"], "rating", "max_install").collect())
