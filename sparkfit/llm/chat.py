@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkfit.session import write_table
+
 CONTEXT_ROLES = ("system",)
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 NOBODY = "unknown"
@@ -38,8 +40,10 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     said = conversations.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
         F.coalesce(role_col, F.lit(NOBODY)).alias("speaker"), F.coalesce(text_col, F.lit("")).alias("said"))
-    people = said.where(~F.col("speaker").isin(*context_roles)) \
-        .select(F.col("conv").alias("of"), F.col("speaker").alias("perspective")).distinct()
+    # Written, so that Spark can split the join's partitions of a long conversation.
+    people = write_table(said.where(~F.col("speaker").isin(*context_roles))
+                         .select(F.col("conv").alias("of"), F.col("speaker").alias("perspective")).distinct(),
+                         "chat-people")
     seen = said.join(people, F.col("conv").eqNullSafe(F.col("of"))).drop("of")
     own = F.col("speaker") == F.col("perspective")
     role = F.when(own, F.lit("assistant")).when(F.col("speaker").isin(*context_roles), F.col("speaker")) \

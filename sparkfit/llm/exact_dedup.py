@@ -45,9 +45,11 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.substring(text, 1, PREFIX).alias("head"), text.alias("t"),
                        F.xxhash64(F.col(text_col)).alias("text_hash"))
     prefix = F.xxhash64(ascii_lower(F.col("head"))).alias("prefix")
-    lens = rows.groupBy("len").agg(F.count("*").alias("n")).where("n > 1").select("len")
-    shared = rows.select("len", "head").join(lens, "len") \
-        .groupBy("len", prefix).agg(F.count("*").alias("n")).where("n > 1")
+    # Keys with company are written, so that Spark can split the joins'
+    # partitions of a frequent length or prefix.
+    lens = write_table(rows.groupBy("len").agg(F.count("*").alias("n")).where("n > 1").select("len"), "exact-lengths")
+    shared = write_table(rows.select("len", "head").join(lens, "len").groupBy("len", prefix)
+                         .agg(F.count("*").alias("n")).where("n > 1"), "exact-prefixes")
     found = rows.select("id", "text_hash", "len", prefix, "t") \
         .join(shared, ["len", "prefix"], "left") \
         .select("id", "text_hash", "n", F.when(F.col("n").isNotNull() | F.lit(digest_all),
@@ -61,8 +63,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, text_hash, keep_id, group_size, kept, full) per row, dropped ones
     too, and ``sha256`` with ``digest_all``."""
     rows = write_table(refine(docs, id_col, text_col, digest_all), "exact-rows")
-    groups = rows.where("full IS NOT NULL").groupBy("full") \
-        .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
+    # Written, so that Spark can split the join's partitions of a large group.
+    groups = write_table(rows.where("full IS NOT NULL").groupBy("full")
+                         .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+                         .where("group_size > 1"), "exact-sizes")
     found = rows.join(groups, "full", "left")
     alone = F.col("group_size").isNull()
     return found.withColumn("keep_id", F.when(alone, F.col("id")).otherwise(F.col("keep_id"))) \

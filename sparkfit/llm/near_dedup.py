@@ -191,11 +191,14 @@ def candidate_edges(classes: DataFrame, threshold: float, miss: float) -> DataFr
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     rows = classes.select(own, band, "sig").select(
         "c", F.xxhash64("band", F.substring(F.col("sig"), F.col("band") * 2 * ROWS + 1, F.lit(2 * ROWS))).alias("key"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    # Written, so that Spark can split the join's partitions of a frequent key.
+    sizes = write_table(rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "bucket-sizes")
     members = write_table(rows.join(sizes, "key"), "bucket-members")
+    drop_table(sizes)
     # One bucket of each membership, told by two hashes of its members.
-    single = members.groupBy("key", "m").agg(F.bit_xor("c").alias("x"), F.bit_xor(F.xxhash64("c")).alias("y")) \
-        .groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
+    single = write_table(
+        members.groupBy("key", "m").agg(F.bit_xor("c").alias("x"), F.bit_xor(F.xxhash64("c")).alias("y"))
+        .groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "bucket-keys")
     work = _blocks(members.join(single, "key"), "key", "c", F.ceil(F.col("m") / BLOCK_ROWS).cast("bigint"))
     work = _sorted_work(work.join(classes.select(own, "cid", "sig"), "c").select("work", "side", "cid", "sig"))
     test = Sequential(threshold, miss)
@@ -235,8 +238,8 @@ def class_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
 def verified_edges(clusters: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, miss: float) -> DataFrame:
     """(src, dst): classes in one component of exactly verified links. The
     ``clusters`` are (cid, cluster)."""
-    sizes = clusters.join(classes.select("cid", "n"), "cid") \
-        .groupBy("cluster").agg(F.sum(F.col("n") * 8).alias("bytes"))
+    sizes = write_table(clusters.join(classes.select("cid", "n"), "cid")
+                        .groupBy("cluster").agg(F.sum(F.col("n") * 8).alias("bytes")), "cluster-sizes")
     full = sets.join(clusters, "cid").join(classes.select("cid", "sig"), "cid").join(sizes, "cluster")
     work = _blocks(full, "cluster", "cid", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("bigint"))
     work = _sorted_work(work.select("work", "side", "cid", "sig", "shingles"))
@@ -285,15 +288,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = write_table(verified_edges(clusters, sets, classes, percent, miss), "near-links")
     labels = connected_components(links).select(F.col("node").alias("cid"), "label")
 
-    own = rows.select("id", "text_hash", F.col("n").alias("n_shingles"), "cid").join(labels, "cid", "left") \
-        .withColumn("label", F.coalesce("label", "cid"))
-    named = own.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("component_id"))
+    own = write_table(
+        rows.select("id", "text_hash", F.col("n").alias("n_shingles"), "cid").join(labels, "cid", "left")
+        .withColumn("label", F.coalesce("label", "cid")).drop("cid"), "near-labels")
+    named = write_table(own.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("component_id")),
+                        "near-names")
     found = own.join(named, "label", "left").withColumn(
         "component_id", F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("component_id")))
     out = write_table(found.select(
         F.col("id").alias(id_col), "text_hash", "n_shingles", "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept")), "near-groups")
-    for t in (hanging, links):
+    for t in (hanging, links, own, named, rows, classes):
         drop_table(t)
     return out
 
