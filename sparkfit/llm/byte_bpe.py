@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from sparkfit.llm.chunks import ChunkedEncoder, in_batches
 from sparkfit.llm.common import ship, slices_by_bytes
 from sparkfit.llm.vocab import once_per_process, shared_file
 
+KEPT_CHUNKS = 150_000               # of a generation of the chunk cache
 LONG_PIECE = 512                    # bytes; longer pieces are merged one by one
 NEVER = np.int64(1) << np.int64(62)
 
@@ -54,10 +56,14 @@ class Ranks:
                 left, right = ranks.get(token[:k]), ranks.get(token[k:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
-        self.pairs = pairs
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The pairs as a dict, for merging single pieces; built when one comes."""
+        return dict(zip(self.keys.tolist(), self.merged.tolist(), strict=True))
+
     @classmethod
     def parse(cls, content: bytes, pattern: str) -> Ranks:
         """From the lines of a rank file: base64 of the token, blank, rank."""
@@ -183,7 +189,7 @@ def merge_pieces(pieces: list[bytes], ranks: Ranks) -> list[bytes]:
         else:
             classes.setdefault(1 << (len(piece) - 1).bit_length(), []).append(i)
     for width, members in classes.items():
-        run = max(1, (1 << 18) // width)            # rows of some 20 MB of working arrays
+        run = max(1, (1 << 17) // width)            # rows of some 10 MB of working arrays
         for a in range(0, len(members), run):
             part = members[a:a + run]
             for i, ids in zip(part, _merge_class([pieces[i] for i in part], width, ranks), strict=True):
@@ -196,7 +202,7 @@ class Codec:
 
     def __init__(self, ranks: Ranks):
         self.ranks = ranks
-        self.encoder = ChunkedEncoder(lambda cs: in_batches(cs, self._chunks, 1 << 20, 1 << 16))
+        self.encoder = ChunkedEncoder(lambda cs: in_batches(cs, self._chunks, 1 << 18, 1 << 14), limit=KEPT_CHUNKS)
         top = max(ranks.tokens) + 1
         self.tokens = [ranks.tokens.get(i, b"") for i in range(top)]
 

@@ -90,7 +90,8 @@ class ChunkedEncoder:
     def __init__(self, encode: Callable[[list[str]], list[bytes]],
                  encode_words: Callable[[list[str]], list[bytes]] | None = None, limit: int = MAX_CHUNKS):
         words, endings = encode_words or encode, dict(zip(ENDINGS, encode(list(ENDINGS)), strict=True))
-        self.head = ChunkCache(encode, max(1, limit // 8), endings)
+        self.line_feed = encode(["\n"])[0]
+        self.head = ChunkCache(encode, max(1, limit // 4), endings)
         self.tail = ChunkCache(lambda cs: words([" " + c for c in cs]), limit, endings)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -113,14 +114,23 @@ class ChunkedEncoder:
             for i in np.flatnonzero(np.logical_or.reduceat(unsafe, firsts)).tolist():
                 heads[i], *slow[i] = BEFORE_BLANK.split(texts[i].as_py())
                 wanted.update(slow[i])
-        head, tail = self.head.resolve(set(heads)), self.tail.resolve(wanted)
-        if odd.any():
-            values = [tail.get(w, b"") for w in words]
+        # The last word of a line and the first of the next one hang together;
+        # a line feed between other characters is a piece of its own.
+        over = {w: w.split("\n") for w in wanted if "\n" in w}
+        over = {w: lines for w, lines in over.items()
+                if not any(not x or x[0].isspace() or x[-1].isspace() for x in lines)}
+        wanted = wanted.difference(over).union([lines[0] for lines in over.values()])
+        begun = set(heads).union([x for lines in over.values() for x in lines[1:]])
+        head, tail = self.head.resolve(begun), self.tail.resolve(wanted)
+        joined = {w: self.line_feed.join([tail[lines[0]], *map(head.__getitem__, lines[1:])])
+                  for w, lines in over.items()}
+        if joined or odd.any():
+            values = [tail.get(w) or joined.get(w, b"") for w in words]
         else:
             values = list(map(tail.__getitem__, words))
         starting = list(map(head.__getitem__, heads))
         for i, rest in slow.items():
-            starting[i] += b"".join(map(tail.__getitem__, rest))
+            starting[i] += b"".join([joined.get(c) or tail[c] for c in rest])
         values += starting
         ids = np.frombuffer(b"".join(values), dtype="<u4")
         sizes = np.fromiter(map(len, values), dtype=np.int32, count=len(values)) >> 2

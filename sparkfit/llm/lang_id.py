@@ -36,8 +36,8 @@ from sparkfit.llm.common import check_bound, fresh, ship, slices_by_bytes
 PROFILE = 300               # n-grams of a profile, and of a document
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
-SLICE_BYTES = 1 << 20
-HELD_IN_TASK = 1 << 21      # summed n-grams that a counting task holds at once
+SLICE_BYTES = 1 << 19
+HELD_IN_TASK = 1 << 20      # summed n-grams that a counting task holds at once
 
 ABSENT = (1 << 21) - 1      # stands where an n-gram is shorter than three
 _tables: list[np.ndarray] = []

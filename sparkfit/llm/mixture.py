@@ -195,8 +195,9 @@ def words_taken(draws: str = "draws") -> Column:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     **options) -> DataFrame:
     """The mix as whole documents with the columns of ``docs``: a row for each
-    draw of a row, partitioned by shard and shuffled within it. The one document
-    that a source draws in part is there if at least half of it is drawn."""
+    draw of a row, in the order of shards and shuffled within each; a large
+    shard goes over several partitions. The one document that a source draws in
+    part is there if at least half of it is drawn."""
     shard, place, key, own, other = fresh(docs, "shard", "place", "mix_hash", "own_hash", "mix_id")
     found = mix(docs, id_col, text_col, source_col, **options)
     rows = found.select(F.col(id_col).alias(other), F.col("text_hash").alias(key), "size", F.explode("draws").alias("d")) \
@@ -205,4 +206,4 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hashed = docs.withColumn(own, F.xxhash64(F.col(text_col)))
     return hashed.join(rows, hashed[id_col].eqNullSafe(rows[other]) & (hashed[own] == rows[key]), "inner") \
         .select(*[hashed[c] for c in docs.columns], shard, place) \
-        .repartition(shard).sortWithinPartitions(shard, place).drop(shard, place)
+        .repartitionByRange(shard, place).sortWithinPartitions(shard, place).drop(shard, place)
