@@ -10,7 +10,8 @@ chunks, the older one dropped when the younger one is full.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from itertools import compress, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ class ChunkCache:
         self.old: dict = {}
         self.passing: list[str] = []
 
-    def resolve(self, chunks: set[str]) -> dict:
+    def resolve(self, chunks: Iterable[str]) -> dict:
         """A dict that has all of ``chunks``, valid until the next call."""
         for c in self.passing:
             self.young.pop(c, None)
@@ -51,19 +52,20 @@ class ChunkCache:
         new = self._recall(chunks)
         ended = [c for c in new if c[-1:] in self.endings and len(c) > 1 and c[-2].isascii() and c[-2].isalpha()]
         if ended:
-            new = self._recall(new.difference(ended).union([c[:-1] for c in ended]))
+            new = self._recall([*new.difference(ended), *[c[:-1] for c in ended]])
         fresh = list(new)
         self.young.update(zip(fresh, self.encode(fresh), strict=True))
         self.young.update([(c, self.young[c[:-1]] + self.endings[c[-1]]) for c in ended])
         self.passing = [c for c in (*fresh, *ended) if len(c) > LONGEST_KEPT]
         return self.young
 
-    def _recall(self, chunks: set[str]) -> set[str]:
+    def _recall(self, chunks: Iterable[str]) -> set[str]:
         """Chunks that neither generation has; those of the old one are young again."""
-        missing = chunks.difference(self.young)
-        known = missing.intersection(self.old)
-        self.young.update([(c, self.old[c]) for c in known])
-        return missing.difference(known)
+        missing = set(filterfalse(self.young.__contains__, chunks))
+        known = list(filter(self.old.__contains__, missing))
+        self.young.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        missing.difference_update(known)
+        return missing
 
 
 def distinct_parts(cut: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -106,31 +108,32 @@ class ChunkedEncoder:
         # one are put together from regular cuts, as if they were one chunk.
         odd = pc.or_(pc.equal(pc.binary_length(distinct), 0),
                      pc.utf8_is_space(pc.utf8_slice_codeunits(distinct, 0, 1))).to_numpy(zero_copy_only=False)
-        slow, wanted = {}, set(words)
+        slow: dict[int, list[str]] = {}
         if odd.any():
-            wanted = {words[i] for i in np.flatnonzero(~odd).tolist()}
             unsafe = odd[number]
             unsafe[firsts] = False
             for i in np.flatnonzero(np.logical_or.reduceat(unsafe, firsts)).tolist():
                 heads[i], *slow[i] = BEFORE_BLANK.split(texts[i].as_py())
-                wanted.update(slow[i])
         # The last word of a line and the first of the next one hang together;
         # a line feed between other characters is a piece of its own.
-        over = {w: w.split("\n") for w in wanted if "\n" in w}
+        lined = pc.match_substring(distinct, "\n").to_numpy(zero_copy_only=False) & ~odd
+        over = {w: w.split("\n") for w in [*compress(words, lined.tolist()),
+                                           *[c for rest in slow.values() for c in rest if "\n" in c]]}
         over = {w: lines for w, lines in over.items()
                 if not any(not x or x[0].isspace() or x[-1].isspace() for x in lines)}
-        wanted = wanted.difference(over).union([lines[0] for lines in over.values()])
-        begun = set(heads).union([x for lines in over.values() for x in lines[1:]])
-        head, tail = self.head.resolve(begun), self.tail.resolve(wanted)
+        head = self.head.resolve([*heads, *[x for lines in over.values() for x in lines[1:]]])
+        plain = compress(words, (~(odd | lined)).tolist())
+        tail = self.tail.resolve([*plain, *[w for w in compress(words, lined.tolist()) if w not in over],
+                                  *[c for rest in slow.values() for c in rest if c not in over],
+                                  *[lines[0] for lines in over.values()]])
         joined = {w: self.line_feed.join([tail[lines[0]], *map(head.__getitem__, lines[1:])])
                   for w, lines in over.items()}
-        if joined or odd.any():
-            values = [tail.get(w) or joined.get(w, b"") for w in words]
-        else:
-            values = list(map(tail.__getitem__, words))
+        values = list(map(tail.get, words))
+        for i in np.flatnonzero(odd | lined).tolist():
+            values[i] = b"" if odd[i] else joined[words[i]] if words[i] in joined else tail[words[i]]
         starting = list(map(head.__getitem__, heads))
         for i, rest in slow.items():
-            starting[i] += b"".join([joined.get(c) or tail[c] for c in rest])
+            starting[i] += b"".join([joined[c] if c in joined else tail[c] for c in rest])
         values += starting
         ids = np.frombuffer(b"".join(values), dtype="<u4")
         sizes = np.fromiter(map(len, values), dtype=np.int32, count=len(values)) >> 2
