@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from sparkfit.functions import strict_double
 from sparkfit.operators import (clean_rows, collect_by_key, doc_tokens, entity_features,

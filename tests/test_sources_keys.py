@@ -2,8 +2,6 @@
 
 import tempfile
 
-from pyspark.sql import functions as F
-
 from sparkfit.operators import key_index, keyed_join_sorted, sort_desc_positions
 from sparkfit.session import scratch_path, write_table
 from sparkfit.sources import read_csv, read_lines, write_csv, write_lines
