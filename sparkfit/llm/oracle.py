@@ -65,9 +65,68 @@ SELECT conv_id, perspective, turn, speaker, as_role AS role, head || body || '<|
 FROM headed
 """
 
+_SIZED = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_SIZED.format(f"({c})") for c in ["doc_id", "source", "lang", n_chars, "text"]) + ")"
+
+
+# crc32 of the decimal id, bit by bit (reflected polynomial 0xEDB88320).
+_CRC = """xor(4294967295, list_reduce(
+  list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+  lambda crc, b: list_reduce([0::BIGINT, 1, 2, 3, 4, 5, 6, 7],
+    lambda r, i: xor(r >> 1, 3988292384 * (r & 1)), xor(crc, b)), 4294967295::BIGINT))"""
+
+OP13 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, n_chars, {_leaf('n_chars')} AS leaf, {_leaf('n_chars + 1')} AS grown,
+         {_CRC} % 7 = 0 AND n_chars IS NOT NULL AS hit FROM documents),
+rows AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+nodes AS (
+  SELECT lang, 0 AS lvl, pos, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n FROM rows
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY lang, lvl, pos // 2),
+subs AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS langs
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, place AS pos, subroot AS digest, langs AS n FROM subs
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY lvl, pos // 2),
+root AS (SELECT digest AS root FROM tops WHERE n = 1),
+proof AS (
+  SELECT r.lang, r.pos AS leaf_pos, e.lvl,
+         CASE WHEN s.pos < e.pos THEN s.digest ELSE '' END AS before,
+         CASE WHEN s.pos > e.pos THEN s.digest ELSE '' END AS after
+  FROM rows r JOIN nodes e ON e.lang IS NOT DISTINCT FROM r.lang AND e.pos = r.pos >> e.lvl AND e.n > 1
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM r.lang AND s.lvl = e.lvl AND s.pos = xor(e.pos, 1)
+  UNION ALL
+  SELECT r.lang, r.pos, 1000 + e.lvl, CASE WHEN s.pos < e.pos THEN s.digest ELSE '' END,
+         CASE WHEN s.pos > e.pos THEN s.digest ELSE '' END
+  FROM rows r JOIN subs u ON u.lang IS NOT DISTINCT FROM r.lang JOIN tops e ON e.pos = u.place >> e.lvl AND e.n > 1
+  LEFT JOIN tops s ON s.lvl = e.lvl AND s.pos = xor(e.pos, 1)),
+proofs AS (
+  SELECT lang, leaf_pos, sha256(string_agg(before || after, '' ORDER BY lvl)) AS proof_sha256,
+         list({{'b': before, 'a': after}} ORDER BY lvl) AS path FROM proof GROUP BY lang, leaf_pos),
+-- A list_reduce over strings: the first is the leaf, the others hold what goes before and after, split by a mark.
+folds AS (
+  SELECT r.doc_id, r.leaf, u.subroot, root.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+         list_reduce(list_transform(coalesce(p.path, []), lambda e: e.b || '|' || e.a),
+           lambda h, e: sha256(split_part(e, '|', 1) || h || split_part(e, '|', 2)),
+           CASE WHEN r.hit THEN r.grown ELSE r.leaf END) AS folded_root
+  FROM rows r JOIN subs u ON u.lang IS NOT DISTINCT FROM r.lang
+  LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM r.lang AND p.leaf_pos = r.pos, root)
+SELECT *, folded_root = root AS verified FROM folds
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_near_dedup": OP4,
     "op5_exact_dedup": OP5,
     "op7_line_dedup": OP7,
     "op9_chat_rotation": OP9,
+    "op13_merkle_manifest": OP13,
 }

@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfit.llm import byte_bpe, chat, exact_dedup, fingerprints, lang_id, line_dedup, mixture, near_dedup
-from sparkfit.llm import token_counts, token_files
+from sparkfit.llm import byte_bpe, chat, exact_dedup, fingerprints, lang_id, line_dedup, merkle, mixture
+from sparkfit.llm import near_dedup, token_counts, token_files
 from sparkfit.llm.common import documents
 from sparkfit.session import scratch_path
 
@@ -74,6 +74,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = documents(spark, sf_dir, *fields)
+    grown = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]
+    hit = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    rows = merkle.manifest(docs, fields, group="lang", key="doc_id",
+                           carry={"tampered": F.when(hit, merkle.field_digest(grown))})
+    shown = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"),
+                        merkle.folded(F.coalesce("tampered", "leaf")).alias("folded_root"))
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_language_id": op2_language_id,
@@ -85,4 +97,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_chat_rotation": op9_chat_rotation,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
