@@ -13,13 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfit.llm import byte_bpe, chat, exact_dedup, fingerprints, lang_id, line_dedup, merkle, mixture
-from sparkfit.llm import near_dedup, token_counts, token_files
+from sparkfit.llm import near_dedup, token_counts, token_files, whitening
 from sparkfit.llm.common import documents
+from sparkfit.llm.vectors import finite_vectors
 from sparkfit.session import scratch_path
 
 END_ID = 2
 TOKEN_LIMIT = 2048
 NEAR_SHINGLE = 4
+COMPONENTS = 16
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +80,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = finite_vectors(embeddings(spark, sf_dir), "vec_id", "embedding")
+    whole = F.transform("vec", lambda c: F.floor(64 * c) + 1000000)
+    fits = ~F.exists("vec", lambda c: F.abs(c) >= 2.0 ** 45)
+    return whitening.whiten(rows.where(fits).select("id", whole.alias("x")), "id", "x", COMPONENTS) \
+        .withColumnRenamed("id", "vec_id")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = documents(spark, sf_dir, *fields)
@@ -97,5 +111,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_chat_rotation": op9_chat_rotation,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_whitening": op12_whitening,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
