@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfit.llm import byte_bpe, chat, exact_dedup, fingerprints, lang_id, line_dedup, merkle, mixture
-from sparkfit.llm import near_dedup, token_counts, token_files, whitening
+from sparkfit.llm import near_dedup, neighbours, token_counts, token_files, whitening
 from sparkfit.llm.common import documents
 from sparkfit.llm.vectors import finite_vectors
 from sparkfit.session import scratch_path
@@ -22,6 +22,7 @@ END_ID = 2
 TOKEN_LIMIT = 2048
 NEAR_SHINGLE = 4
 COMPONENTS = 16
+NEIGHBOURS = 10
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +81,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(embeddings(spark, sf_dir), "vec_id", "embedding", F.col("id") % 100 == 0, NEIGHBOURS)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = finite_vectors(embeddings(spark, sf_dir), "vec_id", "embedding")
     whole = F.transform("vec", lambda c: F.floor(64 * c) + 1000000)
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_chat_rotation": op9_chat_rotation,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
     "op12_whitening": op12_whitening,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

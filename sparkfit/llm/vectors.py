@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from sparkfit.llm.common import ship
 
 
-def finite_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec array<double>) of the rows whose vector is there, not empty, and
-    has neither null nor non-finite entries."""
-    vec = F.col(vec_col).cast("array<double>")
+def finite_vectors(df: DataFrame, id_col: str, vec_col: str, keep_type: bool = False) -> DataFrame:
+    """(id, vec) of the rows whose vector is there, not empty, and has neither
+    null nor non-finite entries; entries are doubles unless the type is kept."""
+    vec = F.col(vec_col) if keep_type else F.col(vec_col).cast("array<double>")
     bad = F.exists(vec, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     return df.select(F.col(id_col).alias("id"), vec.alias("vec")).where((F.size(vec) > 0) & ~bad)
 
