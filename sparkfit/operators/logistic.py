@@ -65,14 +65,15 @@ def build_examples(tf: DataFrame, labels: DataFrame, id_col: str = "id",
 
 def start_weights(vocab: DataFrame, init: float | None = None, seed: int = 7) -> DataFrame:
     """(idx, w) for each word of the vocabulary: a constant start, or N(0, 0.1)
-    drawn from a hash of the seed and the word's index, the same in any run and
-    partitioning."""
+    drawn from the md5 digits of the seed and the word's index, the same in any
+    run, partitioning and engine."""
     base = vocab.select(F.col("idx").cast("int").alias("idx"))
     if init is not None:
         return base.withColumn("w", F.lit(float(init)))
 
     def uniform(part: int):
-        return (F.pmod(F.xxhash64(F.lit(seed), F.lit(part), "idx"), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+        digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(part)), F.col("idx").cast("string"))), 1, 10)
+        return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 40)
     normal = F.sqrt(F.lit(-2.0) * F.log(uniform(0))) * F.cos(F.lit(2 * math.pi) * uniform(1))
     return base.withColumn("w", normal * F.lit(LOGIT_INIT_STD))
 

@@ -8,11 +8,12 @@ than ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfit.functions.strings import char_array, letter_token_array, name_word_array
 from sparkfit.operators.rows import explode_items
+from sparkfit.operators.svm import sparse_entries, tf_vectors
 
 # Fixed value: the vocabulary size of both classifiers.
 VOCAB_SIZE = 20000
@@ -80,19 +81,54 @@ def term_frequency(tokens: DataFrame, vocab: DataFrame, id_col: str = "id", word
     return known.groupBy(id_col, "idx").agg(F.count("*").alias("tf"))
 
 
+def counted_words(df: DataFrame, keep: list[str], tokens: Column, words: list[str]) -> DataFrame:
+    """(keep..., idx, tf): for each row the indexes of its known words, rising,
+    and their counts, as two arrays (empty where it has none).
+
+    ``words`` is the vocabulary in idx order, at most K words. A row is counted
+    where it lies: no token is exploded, and nothing is shuffled."""
+    if not words:
+        return df.select(*keep, F.array().cast("array<int>").alias("idx"), F.array().cast("array<double>").alias("tf"))
+    rows = df.select(*keep, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens_"))
+    v = F.unwrap_udt("tf_")
+    return tf_vectors(rows, words, "tokens_", "tf_").select(*keep, v["indices"].alias("idx"), v["values"].alias("tf"))
+
+
+def term_counts(df: DataFrame, id_col: str, tokens: Column, words: list[str]) -> DataFrame:
+    """(id, idx, tf): count of each known word per row, as ``term_frequency`` gives
+    from exploded tokens, but counted in the row; unknown words drop."""
+    if not words:
+        return counted_words(df, [id_col], tokens, words).select(id_col, F.inline(F.arrays_zip("idx", "tf"))) \
+            .withColumn("tf", F.col("tf").cast("bigint"))
+    rows = df.select(id_col, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens_"))
+    return sparse_entries(tf_vectors(rows, words, "tokens_", "tf_"), [id_col], "tf_") \
+        .withColumn("tf", F.col("tf").cast("bigint"))
+
+
+def _times(text: Column, ch: Column) -> Column:
+    """How often a character is in a text: what its removal takes off the length."""
+    return F.char_length(text) - F.char_length(F.replace(text, ch, F.lit("")))
+
+
 def char_frequency(df: DataFrame, id_col: str, text_col: str,
                    vocab: DataFrame | None = None) -> DataFrame:
-    """Per-row counts of each *character*.
+    """Per-row counts of each *character*, counted in the row.
 
     Without ``vocab``: (id, ch, tf). With it: (id, idx, tf) for characters that
-    are one-letter words of the vocabulary, which is what counting a string
-    against a word list gives.
+    are one-letter words of the vocabulary (only these go to the driver), which
+    is what counting a string against a word list gives. An empty text has no
+    rows.
     """
-    chars = explode_items(df, [F.col(id_col)], char_array(text_col), "ch")
+    text = F.col(text_col)
     if vocab is None:
-        return chars.groupBy(id_col, "ch").agg(F.count("*").alias("tf"))
-    known = lookup_vocab(chars.withColumnRenamed("ch", "word"), vocab)
-    return known.groupBy(id_col, "idx").agg(F.count("*").alias("tf"))
+        found = F.transform(F.array_distinct(char_array(text)),
+                            lambda c: F.struct(c.alias("ch"), _times(text, c).cast("bigint").alias("tf")))
+    else:
+        letters = [(r["idx"], r["word"]) for r in vocab.where(F.char_length("word") == 1).select("idx", "word").collect()]
+        found = F.array(*[F.struct(F.lit(i).alias("idx"), _times(text, F.lit(w)).cast("bigint").alias("tf"))
+                          for i, w in letters]) if letters \
+            else F.array().cast("array<struct<idx: int, tf: bigint>>")
+    return df.select(id_col, F.inline_outer(found)).where(F.col("tf") > 0)
 
 
 def corpus_counts(df: DataFrame, text_col: str) -> DataFrame:

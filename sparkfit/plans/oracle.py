@@ -8,9 +8,12 @@ Column names and rounding match ``sparkfit.plans.queries``.
 
 from __future__ import annotations
 
+import math
+
 from sparkfit.functions.numeric import ASCII_OF_DIGITS, FLOAT_PATTERN, NON_ASCII_DIGITS
 from sparkfit.plans import queries as Q
 from sparkfit.plans import tables as T
+from sparkfit.operators import gradient as G
 from sparkfit.operators import logistic as L
 from sparkfit.operators import regression as R
 from sparkfit.operators import text as TX
@@ -153,7 +156,8 @@ def _named_ctes() -> list[str]:
             f"lab AS (SELECT DISTINCT doc_id, CASE WHEN starts_with(doc_id, '{Q.LABEL_PREFIX}') THEN 1.0 ELSE 0.0 END AS y FROM tok)"]
 
 
-def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL, inputs: list[str] | None = None) -> str:
+def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL, inputs: list[str] | None = None,
+                start: str | None = None) -> str:
     """The descent over the rows of ``lab`` and ``tok`` (``inputs``) unrolled: per step i, scores s{i}, gradient g{i}, history
     m{i}, stop state st{i} (norm of the moved weights, whether an earlier step
     stopped, whether this one stops) and the next weights w{i+1}: frozen after
@@ -165,7 +169,7 @@ def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL, input
         _vocab_cte("vocab", "wc", k),
         "tf AS (SELECT t.doc_id, v.idx, CAST(count(*) AS DOUBLE) AS tf FROM tok t JOIN vocab v ON v.word = t.word GROUP BY t.doc_id, v.idx)",
         "sz AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM lab)",
-        f"w0 AS (SELECT idx, CAST({init} AS DOUBLE) AS w FROM vocab)",
+        start or f"w0 AS (SELECT idx, CAST({init} AS DOUBLE) AS w FROM vocab)",
     ]
     for i in range(steps + 1):
         parts.append(
@@ -197,6 +201,86 @@ def _logit_ctes(steps: int = L.LOGIT_STEPS, tol: float = L.LOGIT_STOP_TOL, input
     return "WITH " + ",\n".join(parts)
 
 
+def _random_start() -> str:
+    """w0 by Box-Muller over the md5 digits of seed, part and index."""
+    def uniform(part: int) -> str:
+        return (f"((('0x' || substring(md5('{Q.START_SEED}:{part}:' || CAST(idx AS VARCHAR)), 1, 10))::BIGINT + 0.5) "
+                f"/ {float(1 << 40)!r})")
+    return (f"w0 AS (SELECT idx, sqrt(-2.0 * ln({uniform(0)})) * cos({2 * math.pi!r} * {uniform(1)}) "
+            f"* {L.LOGIT_INIT_STD} AS w FROM vocab)")
+
+
+def _steps_done(tol: float) -> str:
+    steps = " + ".join(f"(SELECT CASE WHEN done THEN 0 ELSE 1 END FROM st{i})" for i in range(L.LOGIT_STEPS))
+    return f"CAST({steps} AS INTEGER)"
+
+
+def _svm_ctes(steps: int = G.SVM_STEPS) -> str:
+    """The batch SVM over the train half, unrolled: per pass i the scores s{i},
+    gradient g{i}, sums m{i}, state st{i} (best loss and pass so far, slack,
+    aimed-at loss, step) and the next weights and intercept."""
+    tokens = _tokens("text")
+    parts = [
+        f"sp AS (SELECT d.doc_id, d.text, l.quality AS label, substring(md5(concat_ws(':', '{Q.SPLIT_SEED}', "
+        f"CAST(d.doc_id AS VARCHAR))), 1, 8) < '{_split_cut()}' AS is_train "
+        f"FROM documents d JOIN labels l ON l.doc_id = d.doc_id)",
+        f"tok AS (SELECT doc_id, is_train, unnest({tokens}) AS word FROM sp)",
+        "wc AS (SELECT word, count(*) AS cnt FROM tok WHERE is_train GROUP BY word)",
+        _vocab_cte("vocab", "wc", TX.VOCAB_SIZE),
+        "alltf AS (SELECT t.doc_id, t.is_train, v.idx, CAST(count(*) AS DOUBLE) AS tf FROM tok t "
+        "JOIN vocab v ON v.word = t.word GROUP BY t.doc_id, t.is_train, v.idx)",
+        "lab AS (SELECT doc_id, CASE WHEN label > 0 THEN 1.0 ELSE -1.0 END AS side FROM sp WHERE is_train)",
+        "sz AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM lab)",
+        "tf AS (SELECT doc_id, idx, tf FROM alltf WHERE is_train)",
+        "dev AS (SELECT v.idx, sqrt(greatest(coalesce(sum(tf.tf * tf.tf), 0) - coalesce(sum(tf.tf), 0) * coalesce(sum(tf.tf), 0) "
+        "/ (SELECT n FROM sz), 0) / ((SELECT n FROM sz) - 1)) AS sd FROM vocab v LEFT JOIN tf ON tf.idx = v.idx GROUP BY v.idx)",
+        "x AS (SELECT tf.doc_id, tf.idx, tf.tf / dev.sd AS v FROM tf JOIN dev ON dev.idx = tf.idx WHERE dev.sd > 0)",
+        "w0 AS (SELECT idx, 0.0::DOUBLE AS w FROM vocab)", "b0 AS (SELECT 0.0::DOUBLE AS b)",
+    ]
+    for i in range(steps):
+        parts += [
+            f"s{i} AS (SELECT lab.doc_id, lab.side, coalesce(sum(x.v * w{i}.w), 0.0) + (SELECT b FROM b{i}) AS z FROM lab "
+            f"LEFT JOIN x ON x.doc_id = lab.doc_id LEFT JOIN w{i} ON w{i}.idx = x.idx GROUP BY lab.doc_id, lab.side)",
+            f"g{i} AS (SELECT w{i}.idx, w{i}.w, coalesce(sum(CASE WHEN s{i}.side * s{i}.z < 1 THEN -s{i}.side * x.v END), 0.0) "
+            f"/ (SELECT n FROM sz) AS g FROM w{i} LEFT JOIN x ON x.idx = w{i}.idx LEFT JOIN s{i} ON s{i}.doc_id = x.doc_id "
+            f"GROUP BY w{i}.idx, w{i}.w)",
+            f"m{i} AS (SELECT sum(greatest(0.0, 1 - side * z)) / (SELECT n FROM sz) AS loss, "
+            f"sum(CASE WHEN side * z < 1 THEN -side ELSE 0.0 END) / (SELECT n FROM sz) AS gb, "
+            f"sum(CASE WHEN (z > 0) <> (side > 0) THEN 1 ELSE 0 END) AS errors FROM s{i})",
+            f"q{i} AS (SELECT m.loss, m.gb, m.errors, (SELECT sum(g * g) FROM g{i}) + m.gb * m.gb AS size, "
+            + (f"least(p.best, m.loss) AS best, CASE WHEN m.loss < p.best THEN {i} ELSE p.best_at END AS best_at, "
+               f"CASE WHEN m.loss >= p.best AND p.stale + 1 = {G.SVM_PATIENCE} THEN p.slack / 2 ELSE p.slack END AS slack, "
+               f"CASE WHEN m.loss < p.best OR p.stale + 1 = {G.SVM_PATIENCE} THEN 0 ELSE p.stale + 1 END AS stale "
+               f"FROM m{i} m, q{i - 1} p)" if i else
+               f"m.loss AS best, 0 AS best_at, m.loss AS slack, 0 AS stale FROM m{i} m)"),
+            f"st{i} AS (SELECT *, greatest(0.0, best - slack) AS target, "
+            f"CASE WHEN size > 0 THEN (loss - greatest(0.0, best - slack)) / size ELSE 0.0 END AS step FROM q{i})",
+            f"w{i + 1} AS (SELECT g.idx, g.w - st.step * g.g AS w FROM g{i} g, st{i} st)",
+            f"b{i + 1} AS (SELECT b.b - st.step * st.gb AS b FROM b{i} b, st{i} st)",
+        ]
+    return "WITH " + ",\n".join(parts)
+
+
+def _svm_trace_sql(steps: int = G.SVM_STEPS) -> str:
+    rows = "\nUNION ALL\n".join(
+        f"SELECT {i} AS iteration, {_r('loss', 7)} AS loss, {_r('sqrt(size)', 7)} AS grad_norm, "
+        f"CAST(errors AS BIGINT) AS errors, {_r('target', 7)} AS target FROM st{i}" for i in range(steps))
+    return f"{_svm_ctes(steps)}\n{rows}"
+
+
+def _svm_predict_sql(steps: int = G.SVM_STEPS) -> str:
+    weights = " UNION ALL ".join(f"SELECT {i} AS i, idx, w FROM w{i}" for i in range(steps))
+    biases = " UNION ALL ".join(f"SELECT {i} AS i, b FROM b{i}" for i in range(steps))
+    best = f"(SELECT best_at FROM q{steps - 1})"
+    return (f"{_svm_ctes(steps)},\nbw AS (SELECT idx, w FROM ({weights}) a WHERE i = {best}), "
+            f"bb AS (SELECT b FROM ({biases}) a WHERE i = {best}), "
+            f"sc AS (SELECT sp.doc_id, sp.label, coalesce(sum(CASE WHEN dev.sd > 0 THEN t.tf / dev.sd * bw.w END), 0.0) "
+            f"+ (SELECT b FROM bb) AS z FROM sp LEFT JOIN alltf t ON t.doc_id = sp.doc_id LEFT JOIN bw ON bw.idx = t.idx "
+            f"LEFT JOIN dev ON dev.idx = t.idx WHERE NOT sp.is_train GROUP BY sp.doc_id, sp.label)\n"
+            f"SELECT doc_id, CAST(label AS INTEGER) AS label, {_r('z', 6)} AS score, "
+            f"CASE WHEN z > 0 THEN 1 ELSE 0 END AS prediction, {best} AS best FROM sc")
+
+
 def _logit_trace_sql(tol: float = L.LOGIT_STOP_TOL, inputs: list[str] | None = None) -> str:
     steps = L.LOGIT_STEPS
     union = "\nUNION ALL\n".join(
@@ -241,6 +325,14 @@ def _sql() -> dict[str, str]:
             {x: f"beta_{x}" for x in ["rating", "rating_count", "min_install", "price"]}),
         "collect_by_key": ("SELECT l_suppkey AS key, l_quantity AS value, count(*) AS cnt "
                            "FROM lineitem GROUP BY l_suppkey, l_quantity"),
+        "combine_by_key": (f"SELECT n_chars, array_to_string(list_transform(list(doc_id ORDER BY doc_id DESC)"
+                           f"[1:{Q.TOP_VALUES}], lambda v: CAST(v AS VARCHAR)), ',') AS largest "
+                           f"FROM documents GROUP BY n_chars"),
+        "lists_by_key": (f"WITH p AS (SELECT source, n_chars, row_number() OVER "
+                         f"(PARTITION BY source ORDER BY n_chars NULLS LAST) - 1 AS pos FROM documents) "
+                         f"SELECT source, CAST(pos // {Q.LIST_ROWS} AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n, "
+                         f"coalesce(string_agg(CAST(n_chars AS VARCHAR), ',' ORDER BY pos), '') AS lengths "
+                         f"FROM p GROUP BY source, pos // {Q.LIST_ROWS}"),
         "distinct_keys": "SELECT DISTINCT p_name FROM part",
         "row_counts": (f"WITH t AS (SELECT {tokens} AS toks FROM documents) "
                        f"SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(len(toks)) AS BIGINT) AS n_tokens, "
@@ -309,6 +401,13 @@ def _sql() -> dict[str, str]:
                           f"FROM {w_last} JOIN vocab ON vocab.idx = {w_last}.idx"),
         "logit_predict": (f"{_logit_ctes()}\nSELECT doc_id, CAST(y AS INTEGER) AS y, {_r('p', 9)} AS p, "
                           f"CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS pred FROM {s_last}"),
+        "logit_random_start": (f"{_logit_ctes(start=_random_start())}\nSELECT {w_last}.idx, vocab.word, {_r(f'{w_last}.w', 10)} AS w, "
+                               f"{_steps_done(L.LOGIT_STOP_TOL)} AS steps FROM {w_last} JOIN vocab ON vocab.idx = {w_last}.idx"),
+        "logit_early_stop": (f"{_logit_ctes(tol=Q.STOP_TOL)}\nSELECT {w_last}.idx, vocab.word, {_r(f'{w_last}.w', 10)} AS w, "
+                             f"{_steps_done(Q.STOP_TOL)} AS steps, (SELECT done FROM st{L.LOGIT_STEPS - 1}) AS stopped "
+                             f"FROM {w_last} JOIN vocab ON vocab.idx = {w_last}.idx"),
+        "svm_trace": _svm_trace_sql(),
+        "svm_predict": _svm_predict_sql(),
         "top_coefficients": (
             f"{_logit_ctes()}\nSELECT CAST(row_number() OVER (ORDER BY w ASC, word DESC) - 1 AS INTEGER) AS rank, "
             f"word, idx, w FROM (SELECT vocab.word, {w_last}.idx, {_r(f'{w_last}.w', 10)} AS w FROM {w_last} "

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from sparkfit.functions.numeric import rounded
 from sparkfit.functions.strings import letter_token_array, prefix_label
-from sparkfit.operators import aggregate, clean, docs, keys, logistic, metrics, regression, svm, text
+from sparkfit.operators import (aggregate, clean, combine, docs, gradient, keys, logistic, metrics, regression, svm,
+                                text)
 from sparkfit.operators.rows import explode_items, filter_late
 from sparkfit.plans.tables import app_lines, doc_lines, labeled_docs, table
 from sparkfit.session import scratch_path, write_table
@@ -29,6 +30,10 @@ SPLIT_SEED = 42
 SPLIT_FRACTION = 0.5
 LABEL_PREFIX = "la"
 LOGIT_INIT = 0.01
+START_SEED = 7
+STOP_TOL = 0.0275         # between the moves of the norm in the second and the last step
+TOP_VALUES = 3
+LIST_ROWS = 256
 # Sums of prices are expressed in units of 10,000 in the four-feature descents,
 # so that rate * mean(x^2) stays far below 2 and the descent converges.
 PRICE_SUM_UNIT = 10000.0
@@ -118,6 +123,26 @@ def q_collect_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.collect_by_key(li, "l_suppkey", "l_quantity")
 
 
+def q_combine_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest ids of the documents of each length, by a combiner of our own."""
+    def largest(values):
+        return sorted(values, reverse=True)[:TOP_VALUES]
+
+    d = table(spark, sf_dir, "documents", "doc_id", "n_chars")
+    out = combine.combine_by_key(d, "n_chars", "doc_id", lambda v: [v], lambda c, v: largest([*c, v]),
+                                 lambda a, b: largest(a + b), "array<bigint>")
+    return out.select(F.col("key").alias("n_chars"),
+                      F.array_join(F.col("combiner").cast("array<string>"), ",").alias("largest"))
+
+
+def q_lists_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lengths of each source's documents as sorted lists of bounded size."""
+    d = table(spark, sf_dir, "documents", "source", "n_chars")
+    out = combine.lists_by_key(d, "source", "n_chars", LIST_ROWS)
+    return out.select(F.col("key").alias("source"), "part", "n",
+                      F.array_join(F.col("values").cast("array<string>"), ",").alias("lengths"))
+
+
 def q_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.distinct_keys(table(spark, sf_dir, "part", "p_name"), "p_name")
 
@@ -158,10 +183,14 @@ def _written_vocabulary(tokens: DataFrame) -> DataFrame:
     return write_table(text.vocabulary(text.word_count(tokens), text.VOCAB_SIZE), "vocabulary")
 
 
+def _vocabulary_words(tokens: DataFrame) -> list[str]:
+    """The vocabulary's words in idx order; at most K of them."""
+    return svm.vocab_words(text.vocabulary(text.word_count(tokens), text.VOCAB_SIZE))
+
+
 def q_term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    toks = _doc_tokens(spark, sf_dir)
-    tf = text.term_frequency(toks, _written_vocabulary(toks))
-    return tf.select(F.col("id").alias("doc_id"), "idx", "tf")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", deal_by="doc_id")
+    return text.term_counts(d, "doc_id", letter_token_array("text"), _vocabulary_words(_doc_tokens(spark, sf_dir)))
 
 
 def q_char_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,9 +206,8 @@ def q_char_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_holdout_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "doc_id", "text", deal_by="doc_id")
     train, test = hash_split(d, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
-    vocab = _written_vocabulary(text.doc_tokens(train, "doc_id", "text", False))
-    tf = text.term_frequency(text.doc_tokens(test, "doc_id", "text", False), vocab)
-    return tf.select(F.col("id").alias("doc_id"), "idx", "tf")
+    words = _vocabulary_words(text.doc_tokens(train, "doc_id", "text", False))
+    return text.term_counts(test, "doc_id", letter_token_array("text"), words)
 
 
 def q_prefix_label(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,12 +271,27 @@ def _logit_inputs(spark: SparkSession, sf_dir: str):
     return ex, vocab, lab
 
 
-def _logit_fit(spark: SparkSession, sf_dir: str):
-    ex, vocab, lab = _logit_inputs(spark, sf_dir)
+def _logit_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(example rows, to be released by the caller, vocabulary) of the labeled
+    documents. Their tokens feed the vocabulary and the rows: persisted once."""
+    lab = labeled_docs(spark, sf_dir).select(
+        "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("y")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fit = logistic.fit_logistic(ex, vocab, init=LOGIT_INIT)
+        vocab = _written_vocabulary(explode_items(lab, ["doc_id"], F.col("tokens"), "token"))
+        rows = gradient.persisted(gradient.example_rows(lab, "doc_id", "y", F.col("tokens"), svm.vocab_words(vocab)))
+        rows.count()
     finally:
         lab.unpersist()
+    return rows, vocab
+
+
+def _logit_fit(spark: SparkSession, sf_dir: str, **params):
+    rows, vocab = _logit_rows(spark, sf_dir)
+    try:
+        fit = gradient.fit_logistic_rows(rows, vocab.count(), **({"init": LOGIT_INIT} | params))
+    finally:
+        rows.unpersist()
     return vocab, fit
 
 
@@ -263,24 +306,38 @@ def q_logit_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_trace(fit)
 
 
-def q_logit_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocab, fit = _logit_fit(spark, sf_dir)
+def _word_weights(vocab: DataFrame, fit: logistic.LogisticFit) -> DataFrame:
     return fit.weights.join(vocab.select("word", "idx"), "idx").select(
         "idx", "word", rounded(F.col("w"), 10).alias("w"))
 
 
+def q_logit_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _word_weights(*_logit_fit(spark, sf_dir))
+
+
+def q_logit_random_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights fitted from a random start, with the step count."""
+    vocab, fit = _logit_fit(spark, sf_dir, init=None, seed=START_SEED)
+    return _word_weights(vocab, fit).withColumn("steps", F.lit(fit.trace.count()))
+
+
+def q_logit_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights of a fit whose tolerance stops it: the history ends before the
+    stopping step, whose weights are moved but not shrunk."""
+    vocab, fit = _logit_fit(spark, sf_dir, tol=STOP_TOL)
+    return _word_weights(vocab, fit).select("*", F.lit(fit.trace.count()).alias("steps"),
+                                            F.lit(fit.stopped_early).alias("stopped"))
+
+
 def _logit_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-document predictions of the fitted model, written to the shared
-    folder while the examples are still persisted (no second pass over the
-    documents to rebuild them)."""
-    ex, vocab, lab = _logit_inputs(spark, sf_dir)
-    ex = ex.persist(StorageLevel.MEMORY_AND_DISK)
+    folder while the example rows are still persisted."""
+    rows, vocab = _logit_rows(spark, sf_dir)
     try:
-        fit = logistic.fit_logistic(ex, vocab, init=LOGIT_INIT, persist=False)
-        return write_table(logistic.predict_logistic(ex, fit.weights), "logit-pred")
+        fit = gradient.fit_logistic_rows(rows, vocab.count(), init=LOGIT_INIT)
+        return write_table(gradient.predict_logistic_rows(rows, fit.weights), "logit-pred")
     finally:
-        ex.unpersist()
-        lab.unpersist()
+        rows.unpersist()
 
 
 def q_logit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,6 +435,44 @@ def q_svm_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         lab.unpersist()
 
 
+def _svm_rows(spark: SparkSession, sf_dir: str):
+    """(labeled token rows to release, train rows, test rows, vocabulary size)."""
+    lab = labeled_docs(spark, sf_dir).select(
+        "doc_id", letter_token_array("text").alias("tokens"), F.col("quality").alias("labels")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = hash_split(lab, ["doc_id"], SPLIT_FRACTION, SPLIT_SEED)
+    words = _vocabulary_words(explode_items(train, ["doc_id"], F.col("tokens"), "token"))
+    rows = [gradient.example_rows(half, "doc_id", "labels", F.col("tokens"), words) for half in (train, test)]
+    return lab, gradient.persisted(rows[0]), rows[1], len(words)
+
+
+def q_svm_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss, gradient norm and errors of each pass of the batch SVM fit."""
+    lab, train, _, k = _svm_rows(spark, sf_dir)
+    try:
+        fit = gradient.fit_svm_rows(train, k)
+    finally:
+        train.unpersist()
+        lab.unpersist()
+    return fit.trace.select("iteration", rounded(F.col("loss"), 7).alias("loss"),
+                            rounded(F.col("grad_norm"), 7).alias("grad_norm"), "errors",
+                            rounded(F.col("target"), 7).alias("target"))
+
+
+def q_svm_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test half scored by the batch SVM fitted on the train half."""
+    lab, train, test, k = _svm_rows(spark, sf_dir)
+    try:
+        fit = gradient.fit_svm_rows(train, k)
+        pred = write_table(gradient.predict_svm_rows(test, fit), "svm-pred")
+    finally:
+        train.unpersist()
+        lab.unpersist()
+    return pred.select(F.col("id").alias("doc_id"), F.col("y").alias("label"),
+                       rounded(F.col("score"), 6).alias("score"), F.col("pred").alias("prediction"),
+                       F.lit(fit.best).alias("best"))
+
+
 def q_svm_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab, train, test = _svm_halves(spark, sf_dir)
     try:
@@ -430,4 +525,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "multiclass_metrics": q_multiclass_metrics,
     "svm_features": q_svm_features,
     "svm_eval": q_svm_eval,
+    "svm_trace": q_svm_trace,
+    "svm_predict": q_svm_predict,
+    "logit_random_start": q_logit_random_start,
+    "logit_early_stop": q_logit_early_stop,
+    "combine_by_key": q_combine_by_key,
+    "lists_by_key": q_lists_by_key,
 }

@@ -9,9 +9,12 @@ one machine's disk.
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
 import weakref
+import zipfile
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +32,9 @@ LOCAL_CONF = {
 }
 
 
+# Contexts whose Python workers have this package.
+_shipped: weakref.WeakSet = weakref.WeakSet()
+
 # Tables behind the frames that write_table returned.
 _written: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
@@ -55,6 +61,29 @@ def _context(spark: SparkSession):
         return None
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per context.
+
+    Functions run by ``mapInArrow`` refer to the package by name, so the workers
+    must be able to import it. The archive that Spark copies is removed when the
+    driver ends.
+    """
+    context = spark.sparkContext
+    if context in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    handle, path = tempfile.mkstemp(prefix="sparkfit-", suffix=".zip")
+    os.close(handle)
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    atexit.register(lambda: os.path.exists(path) and os.remove(path))
+    _shipped.add(context)
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (set only if unset, locally)."""
     base = spark.conf.get("spark.checkpoint.dir", None)

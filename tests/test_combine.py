@@ -1,0 +1,102 @@
+"""Keyed combiners and per-key lists against plain Python."""
+
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkfit.operators.combine import combine_by_key, lists_by_key
+
+N = 6000
+
+
+def rows_of(n=N):
+    """Half of the rows have one key; some keys and values are null."""
+    return [("hot" if i % 2 else None if i % 11 == 0 else f"k{i % 7}", None if i % 13 == 0 else i * 7919 % 101)
+            for i in range(n)]
+
+
+def frame(spark, rows, partitions=5):
+    return spark.createDataFrame(rows, "k string, v bigint").repartition(partitions)
+
+
+def plain(rows):
+    out = defaultdict(list)
+    for k, v in rows:
+        out[k].append(v)
+    return out
+
+
+def stats_functions():
+    return (lambda v: (0 if v is None else 1, v or 0),
+            lambda c, v: c if v is None else (c[0] + 1, c[1] + v),
+            lambda a, b: (a[0] + b[0], a[1] + b[1]))
+
+
+@pytest.mark.parametrize(("held", "partitions", "salts"), [(50_000, 5, 16), (1, 3, 2), (4, 1, 1)])
+def test_combiner_of_counts_and_sums(spark, held, partitions, salts):
+    rows = rows_of()
+    got = combine_by_key(frame(spark, rows, partitions), "k", "v", *stats_functions(),
+                         "struct<n: bigint, total: bigint>", held=held, salts=salts).collect()
+    want = {k: (sum(v is not None for v in vs), sum(v or 0 for v in vs)) for k, vs in plain(rows).items()}
+    assert {r["key"]: tuple(r["combiner"]) for r in got} == want and len(got) == len(want)
+    assert {r["part"] for r in got} == {0}
+
+
+def test_growing_combiner_is_given_in_parts(spark):
+    rows = rows_of()
+    got = combine_by_key(frame(spark, rows), "k", "v", lambda v: [v], lambda c, v: [*c, v], lambda a, b: a + b,
+                         "array<bigint>", held=3, size=len, limit=100).collect()
+    lists = defaultdict(list)
+    for r in got:
+        assert 0 < len(r["combiner"]) < 200
+        lists[r["key"]] += r["combiner"]
+    assert {k: Counter(v) for k, v in lists.items()} == {k: Counter(v) for k, v in plain(rows).items()}
+    assert len({(r["key"], r["part"]) for r in got}) == len(got)
+    hot = [r for r in got if r["key"] == "hot"]
+    assert len(hot) >= N // 2 // 200 and sum(r["part"] == 0 for r in hot) <= 1
+
+
+def test_a_hot_key_reaches_no_task_whole(spark):
+    """Finished combiners of one key are dealt over the tasks (as many as the shuffle has, with these few rows)."""
+    df = frame(spark, rows_of())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = combine_by_key(df, "k", "v", lambda v: [v], lambda c, v: [*c, v], lambda a, b: a + b, "array<bigint>",
+                             size=len, limit=50)
+        per_task = got.where("key = 'hot'").groupBy(F.spark_partition_id().alias("p")) \
+            .agg(F.sum(F.size("combiner")).alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) > 2 and max(r["n"] for r in per_task) < N // 3
+
+
+def test_combiner_edges(spark):
+    args = (*stats_functions(), "struct<n: bigint, total: bigint>")
+    assert combine_by_key(frame(spark, [], 1), "k", "v", *args).collect() == []
+    with pytest.raises(ValueError):
+        combine_by_key(frame(spark, []), "k", "v", *args, size=len)
+    with pytest.raises(ValueError):
+        combine_by_key(frame(spark, []).withColumn("a", F.array("v")), "a", "v", *args)
+
+
+@pytest.mark.parametrize("part_rows", [1, 64, 10_000])
+def test_lists_in_parts(spark, part_rows):
+    rows = rows_of(1500)
+    got = defaultdict(dict)
+    for r in lists_by_key(frame(spark, rows), "k", "v", part_rows).collect():
+        assert r["n"] == len(r["values"]) <= part_rows
+        got[r["key"]][r["part"]] = r["values"]
+    want = plain(rows)
+    assert got.keys() == want.keys()
+    for k, parts in got.items():
+        assert sorted(parts) == list(range(-(-len(want[k]) // part_rows)))
+        whole = [v for p in sorted(parts) for v in parts[p]]
+        assert whole == sorted(want[k], key=lambda v: (v is None, v or 0))
+
+
+def test_lists_of_equal_rows(spark):
+    df = frame(spark, [("a", 1)] * 500 + [(None, None)] * 20)
+    got = sorted((str(r["key"]), r["part"], r["n"]) for r in lists_by_key(df, "k", "v", 100).collect())
+    assert got == [("None", 0, 20)] + [("a", p, 100) for p in range(5)]
+    assert lists_by_key(frame(spark, []), "k", "v").collect() == []

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sparkfit.operators import logistic as L
+from sparkfit.operators import text as T
 from sparkfit.plans import queries as Q
 
 
@@ -26,7 +27,8 @@ def test_feature_rollup_combines_map_side_with_one_shuffle(spark):
 
 
 def test_vocabulary_lookup_is_a_broadcast_join(spark):
-    txt = plan_of(Q.q_term_frequency(spark, SF_SMALL))
+    toks = Q._doc_tokens(spark, SF_SMALL)
+    txt = plan_of(T.term_frequency(toks, Q._written_vocabulary(toks)))
     assert "BroadcastHashJoin [word" in txt
     assert "SortMergeJoin" not in txt
 
