@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import weakref
-import zipfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,35 +10,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfit.session import ship_package as ship
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-_shipped: weakref.WeakSet = weakref.WeakSet()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per context.
-
-    Functions run by ``mapInArrow`` are pickled by reference, so the workers
-    must be able to import the package; its state (token caches, tables) then
-    lives in the worker process and is reused from task to task.
-    """
-    context = spark.sparkContext
-    if context in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    top = os.path.dirname(root)
-    handle, path = tempfile.mkstemp(prefix="sparkfit-", suffix=".zip")
-    os.close(handle)
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in sorted(n for n in names if n.endswith(".py")):
-                full = os.path.join(folder, name)
-                z.write(full, os.path.relpath(full, top))
-    context.addPyFile(path)
-    _shipped.add(context)
-
-
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """The documents table, or the named columns of it."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
