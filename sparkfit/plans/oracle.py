@@ -303,6 +303,15 @@ def _sql() -> dict[str, str]:
         "split_clean": f"WITH {cleaned} SELECT * FROM cleaned",
         "project_cast": f"WITH {cleaned} SELECT app, min_install, rating, max_install FROM cleaned",
         "csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "csv_infer": "\nUNION ALL\n".join(
+            f"SELECT {i} AS pos, '{name}' AS name, CASE coalesce(max(CASE WHEN v IS NULL THEN 0 "
+            f"WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 1 WHEN regexp_full_match(v, '[+-]?[0-9]+\\.[0-9]*') THEN 2 "
+            f"ELSE 3 END), 0) WHEN 1 THEN 'bigint' WHEN 2 THEN 'double' ELSE 'string' END AS type, count(v) AS n_values "
+            f"FROM (SELECT CAST({value} AS VARCHAR) AS v FROM documents) t"
+            for i, (name, value) in enumerate([
+                ("doc_id", "doc_id"), ("text", "text"), ("lang", "lang"), ("n_chars", "n_chars"), ("quarter", "n_chars / 4.0"),
+                ("mixed", f"CASE WHEN lang = '{Q.MIXED_LANG}' THEN 'n/a' ELSE CAST(n_chars AS VARCHAR) END"),
+                ("never", "NULL")])),
         "sample_exact": (f"SELECT {', '.join(Q.SAMPLE_COLUMNS)} FROM lineitem ORDER BY md5(concat_ws(':', "
                          f"'{Q.SAMPLE_SEED}', {', '.join(f'CAST({c} AS VARCHAR)' for c in Q.SAMPLE_COLUMNS[:4])})) "
                          f"LIMIT {Q.SAMPLE_N}"),

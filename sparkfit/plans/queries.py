@@ -21,7 +21,7 @@ from sparkfit.operators import (aggregate, clean, combine, docs, gradient, keys,
 from sparkfit.operators.rows import explode_items, filter_late
 from sparkfit.plans.tables import app_lines, doc_lines, labeled_docs, table
 from sparkfit.session import scratch_path, write_table
-from sparkfit.sources import hash_split, read_csv, read_lines, sample_exact, write_csv, write_lines
+from sparkfit.sources import hash_split, read_csv, read_csv_inferred, read_lines, sample_exact, write_csv, write_lines
 
 # Fixed query parameters.
 SAMPLE_N = 10_000
@@ -33,6 +33,7 @@ LOGIT_INIT = 0.01
 START_SEED = 7
 STOP_TOL = 0.0275         # between the moves of the norm in the second and the last step
 TOP_VALUES = 3
+MIXED_LANG = "de"         # whose documents have a word in an otherwise numeric column
 LIST_ROWS = 256
 # Sums of prices are expressed in units of 10,000 in the four-feature descents,
 # so that rate * mean(x^2) stays far below 2 and the descent converges.
@@ -65,6 +66,19 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=docs.schema, multi_line=True)
 
 
+def q_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, inferred types and values of the columns of written documents."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars", deal_by="doc_id")
+    mixed = F.when(F.col("lang") == MIXED_LANG, F.lit("n/a")).otherwise(F.col("n_chars").cast("string"))
+    path = write_csv(d.withColumn("quarter", F.col("n_chars") / 4).withColumn("mixed", mixed)
+                     .withColumn("never", F.lit(None).cast("string")), scratch_path(spark, "csv_infer"))
+    back = read_csv_inferred(spark, path, multi_line=True)
+    counts = back.agg(*[F.count(c).alias(c) for c in back.columns])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+                 F.col(f.name).alias("n_values")) for i, f in enumerate(back.schema.fields)])))
+
+
 def q_sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem", *SAMPLE_COLUMNS)
     return sample_exact(lines, SAMPLE_N, SAMPLE_COLUMNS[:4], SAMPLE_SEED)
@@ -490,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_clean": q_split_clean,
     "project_cast": q_project_cast,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_infer": q_csv_infer,
     "sample_exact": q_sample_exact,
     "ols_fit": q_ols_fit,
     "gd_univariate_trace": q_gd_univariate_trace,
