@@ -4,6 +4,7 @@ from sparkfit.operators.aggregate import collect_by_key, distinct_keys, entity_f
 from sparkfit.operators.clean import APP_FIELDS, NUMERIC_FIELDS, clean_rows, project_pairs, split_fields
 from sparkfit.operators.combine import combine_by_key, lists_by_key
 from sparkfit.operators.docs import parse_doc_tags, sort_desc_positions
+from sparkfit.operators.frequent import frequent_words
 from sparkfit.operators.gradient import (SvmFit, example_rows, fit_logistic_rows, fit_svm_rows, predict_logistic_rows,
                                          predict_svm_rows)
 from sparkfit.operators.keys import join_fanout, key_index, keyed_join, keyed_join_sorted, row_positions
@@ -23,7 +24,7 @@ __all__ = [
     "ols_fit", "moments", "descent_trace", "independent_descent_trace",
     "name_words", "doc_tokens", "word_count", "top_words", "vocabulary", "lookup_vocab",
     "term_frequency", "char_frequency", "corpus_counts", "counted_words", "term_counts",
-    "combine_by_key", "lists_by_key",
+    "combine_by_key", "lists_by_key", "frequent_words",
     "SvmFit", "example_rows", "fit_logistic_rows", "fit_svm_rows", "predict_logistic_rows", "predict_svm_rows",
     "parse_doc_tags", "sort_desc_positions",
     "row_positions", "key_index", "keyed_join", "join_fanout", "keyed_join_sorted",

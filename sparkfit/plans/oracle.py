@@ -356,6 +356,8 @@ def _sql() -> dict[str, str]:
                        f"(SELECT unnest({tokens}) AS word FROM documents) t GROUP BY word"),
         "top_words": (f"SELECT word, count(*) AS cnt FROM (SELECT unnest({tokens}) AS word FROM documents) t "
                       f"GROUP BY word ORDER BY cnt DESC, word LIMIT {TX.VOCAB_SIZE}"),
+        "frequent_words": (f"SELECT word, count(*) AS cnt FROM (SELECT unnest({tokens}) AS word FROM documents) t "
+                           f"GROUP BY word ORDER BY cnt DESC, word LIMIT {Q.FREQUENT}"),
         "vocab_index": (f"WITH wc AS (SELECT word, count(*) AS cnt FROM "
                         f"(SELECT unnest({tokens}) AS word FROM documents) t GROUP BY word), "
                         f"{_vocab_cte('vocab', 'wc', TX.VOCAB_SIZE)} SELECT word, idx, cnt FROM vocab"),

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from sparkfit.functions.numeric import rounded
 from sparkfit.functions.strings import letter_token_array, prefix_label
-from sparkfit.operators import (aggregate, clean, combine, docs, gradient, keys, logistic, metrics, regression, svm,
-                                text)
+from sparkfit.operators import (aggregate, clean, combine, docs, frequent, gradient, keys, logistic, metrics,
+                                regression, svm, text)
 from sparkfit.operators.rows import explode_items, filter_late
 from sparkfit.plans.tables import app_lines, doc_lines, labeled_docs, table
 from sparkfit.session import scratch_path, write_table
@@ -33,6 +33,7 @@ LOGIT_INIT = 0.01
 START_SEED = 7
 STOP_TOL = 0.0275         # between the moves of the norm in the second and the last step
 TOP_VALUES = 3
+FREQUENT = 5_000
 MIXED_LANG = "de"         # whose documents have a word in an otherwise numeric column
 LIST_ROWS = 256
 # Sums of prices are expressed in units of 10,000 in the four-feature descents,
@@ -188,6 +189,12 @@ def q_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.top_words(text.word_count(_doc_tokens(spark, sf_dir)), text.VOCAB_SIZE)
 
 
+def q_frequent_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent words, by summaries and an exact recount of candidates."""
+    d = table(spark, sf_dir, "documents", "doc_id", "text", deal_by="doc_id")
+    return frequent.frequent_words(d, letter_token_array("text"), FREQUENT)
+
+
 def q_vocab_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.vocabulary(text.word_count(_doc_tokens(spark, sf_dir)), text.VOCAB_SIZE)
 
@@ -517,6 +524,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_tokens": q_doc_tokens,
     "word_count": q_word_count,
     "top_words": q_top_words,
+    "frequent_words": q_frequent_words,
     "vocab_index": q_vocab_index,
     "term_frequency": q_term_frequency,
     "char_frequency": q_char_frequency,
