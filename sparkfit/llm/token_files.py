@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkfit.llm.chunks import BEFORE_BLANK, ChunkedEncoder, in_batches
+from sparkfit.llm.chunks import BEFORE_BLANK, ArrayEncoder
 from sparkfit.llm.common import ship, slices_by_bytes
 from sparkfit.llm.vocab import LibraryTokenizer, once_per_process, shared_file
 
@@ -56,23 +56,15 @@ class DocumentEncoder:
     """Ids of Arrow arrays of texts, each text with the end id."""
 
     def __init__(self, tokenizer: LibraryTokenizer):
-        def encode(strings: list[str]) -> list[bytes]:
-            return in_batches(strings, tokenizer.ids)
-
-        def encode_words(strings: list[str]) -> list[bytes]:
-            return in_batches(strings, tokenizer.word_ids, longest=1 << 16)
-        self.chunked = ChunkedEncoder(encode, encode_words) if tokenizer.cut is BEFORE_BLANK else None
-        self.encode = encode
+        self.chunked = ArrayEncoder(tokenizer.arrays, tokenizer.word_arrays) if tokenizer.cut is BEFORE_BLANK else None
+        self.encode = tokenizer.arrays
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, ids of each text)."""
         if self.chunked:
-            ids, counts = self.chunked(texts)
-        else:
-            found = self.encode(texts.fill_null("").to_pylist())
-            counts = np.fromiter((len(x) // 4 for x in found), dtype=np.int64, count=len(found))
-            ids = np.frombuffer(b"".join(found), dtype="<u4")
-        return np.insert(ids, np.cumsum(counts), end_id).astype("<i4"), counts + 1
+            return self.chunked(texts, end_id)
+        ids, counts = self.encode(texts.fill_null(""))
+        return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
 def document_encoder(content: bytes) -> DocumentEncoder:

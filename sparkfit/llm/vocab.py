@@ -14,10 +14,12 @@ from array import array
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-from sparkfit.llm.chunks import AT_BLANKS, BEFORE_BLANK
+from sparkfit.llm.chunks import AT_BLANKS, BEFORE_BLANK, in_batches
 from sparkfit.llm.common import check_bound
 
 MAX_FILE_BYTES = 64 << 20
@@ -67,6 +69,14 @@ def safe_cut(spec: dict) -> re.Pattern | str | None:
     return None
 
 
+def _runs(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal labels."""
+    if not len(labels):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    cuts = np.flatnonzero(labels[1:] != labels[:-1]) + 1
+    return np.concatenate([[0], cuts]), np.append(cuts, len(labels))
+
+
 class LibraryTokenizer:
     """The tokenizers library on batches of strings, without special tokens
     around them; special strings inside are treated as the library does."""
@@ -102,6 +112,33 @@ class LibraryTokenizer:
         raw, cuts = ids.tobytes(), [0, *((cuts + 1) * 4).tolist()]
         return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
+    def word_arrays(self, words: pa.Array, target: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+        """``word_ids`` of an Arrow array of words without their blanks, as (ids,
+        ids of each), in calls of about ``target`` bytes."""
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        call = np.cumsum(sizes) // target
+        out, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for a, b in zip(*(x.tolist() for x in _runs(call)), strict=True):
+            part = words.slice(a, b - a)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), part), " ")[0].as_py()
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.cumsum(sizes[a:b])
+            upto = np.cumsum(self.sizes[ids])
+            cuts = np.searchsorted(upto, ends)
+            if len(upto) <= int(cuts[-1]) or (upto[cuts] != ends).any():
+                ids, own = self.arrays(pa.array([" " + w for w in part.to_pylist()], pa.string()))
+            else:
+                own = np.diff(cuts + 1, prepend=0)
+            out.append(ids)
+            counts.append(own)
+        return np.concatenate(out), np.concatenate(counts)
+
+    def arrays(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each) of an Arrow array of strings."""
+        found = in_batches(strings.to_pylist(), self.ids)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) >> 2
+        return np.frombuffer(b"".join(found), dtype="<i4"), sizes
+
     def ids(self, strings: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
