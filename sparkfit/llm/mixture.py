@@ -16,10 +16,12 @@ blocks and documents stay in DataFrames. Every order comes from seeded hashes
 of row contents, so reruns agree whatever the partitioning.
 
 Results for special inputs: a null text has size 0; a null source is a source,
-last in the order of weights; ids may be null or repeat (rows that agree in id
-and text are drawn in the same way, each row its own); sources of size 0 have
-target 0; ties of hashes are broken by id; an empty table gives an empty mix;
-other columns are ignored, whatever their names.
+last in the order of weights; ids may be null or repeat; rows that agree in id
+and text are one place in the order of their block and stand for each other: in
+the mix of whole documents each draw of any of them is a row with the other
+columns of one of them. Sources of size 0 have target 0; ties of hashes are
+broken by id; texts of any length are counted whole and never moved for it; an
+empty table gives an empty mix; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,13 +34,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfit.llm.common import check_bound, fresh
+from sparkfit.llm.common import check_bound, fresh, single_rows
 from sparkfit.session import write_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3             # no target above this many times the source's size
-BLOCKS = 1024               # of a source
+BLOCKS = 1024               # of a source, at least
+BLOCK_DOCUMENTS = 100_000   # that a block holds about, in larger tables
 SHARDS = 16
 SEED = 20240501
 MAX_SOURCES = 100_000
@@ -120,12 +123,13 @@ def plan_sources(totals: list[tuple[str | None, int]], weights: Sequence[float]
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = WEIGHTS, most: float = MOST_PASSES, shards: int = SHARDS,
-        blocks: int = BLOCKS, seed: int = SEED) -> DataFrame:
+        blocks: int | None = None, seed: int = SEED) -> DataFrame:
     """One row per document: (id, text_hash, source, size, source_size, target,
     draws), where draws is an array of (shard, pass, words, place): the document
     is put into that shard at that place (a sort key) with its first ``words``
     words. A document that isn't taken has no draws."""
     spark = docs.sparkSession
+    blocks = blocks or max(BLOCKS, -(-docs.count() // BLOCK_DOCUMENTS))
     keyed = write_table(docs.select(
         F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))
@@ -172,12 +176,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.collect_list(F.struct("shard", "pass", "part")).alias("taken"), F.max("part").alias("part"))
 
     # Documents of the block that a source draws in part, in order, until its
-    # words are reached. The window has the join's partitioning: (source, block).
+    # words are reached: one block a source, the only one whose rows are moved.
     so_far = Window.partitionBy("s", "block").orderBy("h", "id", "text_hash") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     some = F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - F.col("until") + F.col("size")))
-    drawn = numbered.join(by_block, ["s", "block"], "left") \
-        .withColumn("until", F.sum("size").over(so_far)).withColumn("some", some)
+    # Written: a row per block of a source, joined by its measured size.
+    by_block = write_table(by_block, "mix-blocks")
+    placed = numbered.join(by_block, ["s", "block"], "left")
+    drawn = placed.where("coalesce(part, 0) = 0").withColumn("some", F.lit(0).cast("bigint")).unionByName(
+        placed.where("part > 0").withColumn("until", F.sum("size").over(so_far)).withColumn("some", some).drop("until"))
     draws_of = F.transform(F.coalesce("taken", F.array()), lambda d: F.struct(
         d["shard"].alias("shard"), d["pass"].alias("pass"),
         F.when(d["part"] > 0, F.col("some")).otherwise(F.col("size")).alias("words"),
@@ -198,12 +205,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     draw of a row, in the order of shards and shuffled within each; a large
     shard goes over several partitions. The one document that a source draws in
     part is there if at least half of it is drawn."""
-    shard, place, key, own, other = fresh(docs, "shard", "place", "mix_hash", "own_hash", "mix_id")
-    found = mix(docs, id_col, text_col, source_col, **options)
-    rows = found.select(F.col(id_col).alias(other), F.col("text_hash").alias(key), "size", F.explode("draws").alias("d")) \
+    shard, place, key, own, other, of = fresh(docs, "shard", "place", "mix_hash", "own_hash", "mix_id", "mix_source")
+    found = write_table(mix(docs, id_col, text_col, source_col, **options).select(
+        F.col(id_col).alias("id"), "text_hash", "source", "size", "draws"), "mix-found")
+    # Draws of equal rows are theirs together, so one of these rows is enough.
+    repeats = found.groupBy("id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("id", "text_hash")
+    rows = found.select(F.col("id").alias(other), F.col("text_hash").alias(key), F.col("source").alias(of), "size",
+                        F.explode("draws").alias("d")) \
         .where(F.col("d.words") * 2 >= F.col("size")) \
-        .select(other, key, F.col("d.shard").alias(shard), F.col("d.place").alias(place)).distinct()
-    hashed = docs.withColumn(own, F.xxhash64(F.col(text_col)))
+        .select(other, key, of, F.col("d.shard").alias(shard), F.col("d.place").alias(place))
+    hashed = single_rows(docs, repeats, id_col, text_col).withColumn(own, F.xxhash64(F.col(text_col)))
     return hashed.join(rows, hashed[id_col].eqNullSafe(rows[other]) & (hashed[own] == rows[key]), "inner") \
-        .select(*[hashed[c] for c in docs.columns], shard, place) \
+        .select(*[rows[of].alias(c) if c == source_col else hashed[c] for c in docs.columns], shard, place) \
         .repartitionByRange(shard, place).sortWithinPartitions(shard, place).drop(shard, place)
