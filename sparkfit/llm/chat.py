@@ -10,6 +10,10 @@ turn order, so a conversation of any length stays spread over the cluster and
 no dialogue is collected into one task: the sample of a perspective is the
 concatenation of its rows. ``assemble`` does that for windows of turns.
 
+Nothing that is said can forge a turn: in texts every ``<|`` becomes ``<\\|``, so
+that no mark begins there, and in names control characters, blanks and ``< > |``
+become ``_``, so that a header is one line. Masks cover the texts as rendered.
+
 Results for special inputs: a null text is an empty message, marked as such; a
 null role is a participant named ``unknown``; a null turn comes first; a null
 conversation is a conversation of its own; repeated rows are each rendered; a
@@ -19,7 +23,7 @@ table gives an empty result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfit.session import write_table
@@ -28,6 +32,17 @@ CONTEXT_ROLES = ("system",)
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 NOBODY = "unknown"
 WINDOW_TURNS = 64
+NOT_IN_NAMES = r"[\x00-\x20\x7F<>|]"
+
+
+def safe_text(text: Column) -> Column:
+    """The text without the beginning of a mark."""
+    return F.replace(text, F.lit("<|"), F.lit("<\\|"))
+
+
+def safe_name(name: Column) -> Column:
+    """The name as one word of a header."""
+    return F.regexp_replace(name, NOT_IN_NAMES, "_")
 
 
 def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -39,7 +54,7 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     perspective, an empty range elsewhere."""
     said = conversations.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
-        F.coalesce(role_col, F.lit(NOBODY)).alias("speaker"), F.coalesce(text_col, F.lit("")).alias("said"))
+        F.coalesce(role_col, F.lit(NOBODY)).alias("speaker"), safe_text(F.coalesce(text_col, F.lit(""))).alias("said"))
     # Written, so that Spark can split the join's partitions of a long conversation.
     people = write_table(said.where(~F.col("speaker").isin(*context_roles))
                          .select(F.col("conv").alias("of"), F.col("speaker").alias("perspective")).distinct(),
@@ -48,7 +63,7 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     own = F.col("speaker") == F.col("perspective")
     role = F.when(own, F.lit("assistant")).when(F.col("speaker").isin(*context_roles), F.col("speaker")) \
             .otherwise(F.lit("user"))
-    name = F.when(F.col("role") == "user", F.concat(F.lit(" name="), F.col("speaker"))).otherwise(F.lit(""))
+    name = F.when(F.col("role") == "user", F.concat(F.lit(" name="), safe_name(F.col("speaker")))).otherwise(F.lit(""))
     head = F.concat(F.lit(OPEN), F.col("role"), name, F.lit("\n"))
     start = F.char_length("head").cast("bigint")
     return seen.withColumn("role", role).withColumn("head", head).select(

@@ -49,7 +49,7 @@ FROM marked GROUP BY doc_id
 
 OP9 = """
 WITH said AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations),
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '<\\|') AS body FROM conversations),
 people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
 seen AS (
   SELECT s.*, p.perspective,
@@ -57,7 +57,7 @@ seen AS (
               ELSE 'user' END AS as_role
   FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
 headed AS (
-  SELECT *, '<|im_start|>' || as_role || CASE WHEN as_role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) AS head
+  SELECT *, '<|im_start|>' || as_role || CASE WHEN as_role = 'user' THEN ' name=' || regexp_replace(speaker, '[\\x00-\\x20\\x7F<>|]', '_', 'g') ELSE '' END || chr(10) AS head
   FROM seen)
 SELECT conv_id, perspective, turn, speaker, as_role AS role, head || body || '<|im_end|>' || chr(10) AS rendered,
        length(head) AS mask_start,
