@@ -239,9 +239,11 @@ def verified_edges(clusters: DataFrame, sets: DataFrame, classes: DataFrame, per
     """(src, dst): classes in one component of exactly verified links. The
     ``clusters`` are (cid, cluster)."""
     sizes = write_table(clusters.join(classes.select("cid", "n"), "cid")
-                        .groupBy("cluster").agg(F.sum(F.col("n") * 8).alias("bytes")), "cluster-sizes")
+                        .groupBy("cluster").agg(F.sum(F.col("n") * 8).alias("bytes"), F.count("*").alias("members")),
+                        "cluster-sizes")
     full = sets.join(clusters, "cid").join(classes.select("cid", "sig"), "cid").join(sizes, "cluster")
-    work = _blocks(full, "cluster", "cid", F.ceil(F.col("bytes") / BLOCK_BYTES).cast("bigint"))
+    # No more blocks than members: a long set is a block, and is copied once for each other one.
+    work = _blocks(full, "cluster", "cid", F.least(F.ceil(F.col("bytes") / BLOCK_BYTES).cast("bigint"), F.col("members")))
     work = _sorted_work(work.select("work", "side", "cid", "sig", "shingles"))
     test = Sequential(percent / 100, miss)
 
