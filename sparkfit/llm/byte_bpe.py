@@ -12,9 +12,14 @@ with array operations, ``merge_piece`` for one long piece.
 Spark partitions the documents; a task streams over Arrow batches and keeps a
 bounded cache of chunks (see ``chunks``) between tasks.
 
+Texts are cut into chunks, each encoded once, only for patterns that are known
+to cut there too (``CUT_PATTERNS``); with any other pattern a text is encoded
+whole.
+
 Results for special inputs: a null text is an empty one (no ids, the hash of
 no bytes); repeated rows each get their row; an empty table gives an empty
-result; other columns of the input are ignored, whatever their names.
+result; texts of any length are encoded whole; other columns of the input are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,6 +43,12 @@ KEPT_CHUNKS = 150_000               # of a generation of the chunk cache
 LONG_PIECE = 512                    # bytes; longer pieces are merged one by one
 NEVER = np.int64(1) << np.int64(62)
 
+# Fixed value: patterns that end a piece before a blank with something else behind
+# it, around a line feed between other characters, and before , and . behind a letter.
+CUT_PATTERNS = {
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
+}
+
 
 class Ranks:
     """A rank vocabulary: bytes of a token -> its id, which is its merge rank."""
@@ -202,7 +213,8 @@ class Codec:
 
     def __init__(self, ranks: Ranks):
         self.ranks = ranks
-        self.encoder = ChunkedEncoder(lambda cs: in_batches(cs, self._chunks, 1 << 18, 1 << 14), limit=KEPT_CHUNKS)
+        self.encoder = ChunkedEncoder(lambda cs: in_batches(cs, self._chunks, 1 << 18, 1 << 14), limit=KEPT_CHUNKS) \
+            if ranks.pattern.pattern in CUT_PATTERNS else None
         top = max(ranks.tokens) + 1
         self.tokens = [ranks.tokens.get(i, b"") for i in range(top)]
 
@@ -211,13 +223,17 @@ class Codec:
         return cls(Ranks.parse(content, pattern))
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        cut = [self.ranks.pattern.findall(c) for c in chunks]
+        cut = [self.ranks.pattern.findall(c) if not self.ranks.pattern.groups
+               else [m.group() for m in self.ranks.pattern.finditer(c)] for c in chunks]
         distinct = list({piece for pieces in cut for piece in pieces})
         ids = dict(zip(distinct, merge_pieces([d.encode() for d in distinct], self.ranks), strict=True))
         return [b"".join([ids[piece] for piece in pieces]) for pieces in cut]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids (unsigned 32-bit) of each text; a null text is an empty one."""
+        if self.encoder is None:
+            whole = in_batches(texts.fill_null("").to_pylist(), self._chunks)
+            return [np.frombuffer(x, dtype="<u4") for x in whole]
         ids, counts = self.encoder(texts)
         return np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
 
