@@ -27,6 +27,7 @@ from sparkfit.session import ship_package
 
 SVM_STEPS = 10
 SVM_PATIENCE = 5
+SVM_EPSILON = 1e-9              # shortfalls and gains below are rounding: a step often puts a margin at 1
 _GUARD = 1e-12                  # inside the logarithms of the loss
 
 _PART = "grp int, task int, v binary"
@@ -210,11 +211,12 @@ def fit_svm_rows(rows: DataFrame, k: int, steps: int = SVM_STEPS) -> SvmFit:
     def kernel(b: Batch, w: np.ndarray) -> np.ndarray:
         side = np.where(b.y > 0.5, 1.0, -1.0)
         z = b.scores(w[:k] * scale) + w[k]
-        margin = side * z
-        active = np.where(margin < 1.0, -side, 0.0)
+        short = 1.0 - side * z
+        short[short <= SVM_EPSILON] = 0.0
+        active = np.where(short > 0.0, -side, 0.0)
         wrong = (z > 0) != (side > 0)
         return np.concatenate([b.by_word(active, k) * scale,
-                               [active.sum(), np.maximum(0.0, 1.0 - margin).sum(), wrong.sum(), b.n]])
+                               [active.sum(), short.sum(), wrong.sum(), b.n]])
 
     w = np.zeros(k + 1)
     history, best, best_at, best_w, slack, stale = [], math.inf, 0, w, None, 0
@@ -225,7 +227,7 @@ def fit_svm_rows(rows: DataFrame, k: int, steps: int = SVM_STEPS) -> SvmFit:
             raise ValueError("fit_svm_rows: no examples")
         g, loss = s[:k + 1] / n, float(s[k + 1] / n)
         slack = loss if slack is None else slack
-        if loss < best:
+        if loss < best - SVM_EPSILON:
             best, best_at, best_w, stale = loss, i, w, 0
         else:
             stale += 1

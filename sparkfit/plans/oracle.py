@@ -241,16 +241,17 @@ def _svm_ctes(steps: int = G.SVM_STEPS) -> str:
         parts += [
             f"s{i} AS (SELECT lab.doc_id, lab.side, coalesce(sum(x.v * w{i}.w), 0.0) + (SELECT b FROM b{i}) AS z FROM lab "
             f"LEFT JOIN x ON x.doc_id = lab.doc_id LEFT JOIN w{i} ON w{i}.idx = x.idx GROUP BY lab.doc_id, lab.side)",
-            f"g{i} AS (SELECT w{i}.idx, w{i}.w, coalesce(sum(CASE WHEN s{i}.side * s{i}.z < 1 THEN -s{i}.side * x.v END), 0.0) "
+            f"g{i} AS (SELECT w{i}.idx, w{i}.w, coalesce(sum(CASE WHEN 1 - s{i}.side * s{i}.z > {G.SVM_EPSILON!r} THEN -s{i}.side * x.v END), 0.0) "
             f"/ (SELECT n FROM sz) AS g FROM w{i} LEFT JOIN x ON x.idx = w{i}.idx LEFT JOIN s{i} ON s{i}.doc_id = x.doc_id "
             f"GROUP BY w{i}.idx, w{i}.w)",
-            f"m{i} AS (SELECT sum(greatest(0.0, 1 - side * z)) / (SELECT n FROM sz) AS loss, "
-            f"sum(CASE WHEN side * z < 1 THEN -side ELSE 0.0 END) / (SELECT n FROM sz) AS gb, "
+            f"m{i} AS (SELECT sum(CASE WHEN 1 - side * z > {G.SVM_EPSILON!r} THEN 1 - side * z ELSE 0.0 END) / (SELECT n FROM sz) AS loss, "
+            f"sum(CASE WHEN 1 - side * z > {G.SVM_EPSILON!r} THEN -side ELSE 0.0 END) / (SELECT n FROM sz) AS gb, "
             f"sum(CASE WHEN (z > 0) <> (side > 0) THEN 1 ELSE 0 END) AS errors FROM s{i})",
             f"q{i} AS (SELECT m.loss, m.gb, m.errors, (SELECT sum(g * g) FROM g{i}) + m.gb * m.gb AS size, "
-            + (f"least(p.best, m.loss) AS best, CASE WHEN m.loss < p.best THEN {i} ELSE p.best_at END AS best_at, "
-               f"CASE WHEN m.loss >= p.best AND p.stale + 1 = {G.SVM_PATIENCE} THEN p.slack / 2 ELSE p.slack END AS slack, "
-               f"CASE WHEN m.loss < p.best OR p.stale + 1 = {G.SVM_PATIENCE} THEN 0 ELSE p.stale + 1 END AS stale "
+            + (f"CASE WHEN m.loss < p.best - {G.SVM_EPSILON!r} THEN m.loss ELSE p.best END AS best, "
+               f"CASE WHEN m.loss < p.best - {G.SVM_EPSILON!r} THEN {i} ELSE p.best_at END AS best_at, "
+               f"CASE WHEN m.loss >= p.best - {G.SVM_EPSILON!r} AND p.stale + 1 = {G.SVM_PATIENCE} THEN p.slack / 2 ELSE p.slack END AS slack, "
+               f"CASE WHEN m.loss < p.best - {G.SVM_EPSILON!r} OR p.stale + 1 = {G.SVM_PATIENCE} THEN 0 ELSE p.stale + 1 END AS stale "
                f"FROM m{i} m, q{i - 1} p)" if i else
                f"m.loss AS best, 0 AS best_at, m.loss AS slack, 0 AS stale FROM m{i} m)"),
             f"st{i} AS (SELECT *, greatest(0.0, best - slack) AS target, "
