@@ -15,7 +15,7 @@ terms.
 
 ``edited_fingerprints`` also fingerprints an edit of each document that takes
 in the start of the next one in id order. Documents are dealt into parts by
-ranges of ids, each part also gets the first row of the part behind it, and a
+ranges of (id, text hash), each part also gets the first row of the part behind it, and a
 task streams over a part in order, so no text is looked up by a join.
 
 Results for special inputs: a null text is an empty one; a text without words
@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sparkfit.llm.common import check_bound, ship, slices_by_bytes
 from sparkfit.llm.words import mix, word_hashes
@@ -124,44 +125,67 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .mapInArrow(run, f"i {id_type}, fingerprint string").withColumnRenamed("i", id_col)
 
 
+class Bounds:
+    """First (id, text hash) of each part, in order; null ids come first."""
+
+    def __init__(self, rows: Iterable[tuple], id_type: pa.DataType):
+        rows = set(rows)
+        self.of_nulls = np.array(sorted(h for i, h in rows if i is None), dtype=np.int64)
+        rest = sorted((i, h) for i, h in rows if i is not None)
+        self.ids = pa.array([i for i, _ in rest], type=id_type)
+        self.hashes = np.array([h for _, h in rest], dtype=np.int64)
+        self.parts = max(1, len(rows))
+
+    def place(self, ids: pa.Array, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(part, is the part's first row) of each row."""
+        null = ids.is_null().to_numpy(zero_copy_only=False)
+        at = np.empty(len(ids), dtype=np.int64)
+        edge = np.zeros(len(ids), dtype=bool)
+        at[null] = np.searchsorted(self.of_nulls, hashes[null], side="right") - 1
+        edge[null] = self.of_nulls[at[null]] == hashes[null]
+        rows = np.flatnonzero(~null)
+        if len(rows):
+            starts = self.ids.to_numpy(zero_copy_only=False)
+            values = ids.filter(pa.array(~null)).to_numpy(zero_copy_only=False)
+            low, high = np.searchsorted(starts, values, side="left"), np.searchsorted(starts, values, side="right")
+            own = high - 1                          # the last part that begins before the id or with it
+            for first in np.unique(low[low < high]).tolist():
+                among = np.flatnonzero((low == first) & (low < high))
+                end = int(high[among[0]])
+                own[among] = first - 1 + np.searchsorted(self.hashes[first:end], hashes[rows[among]], side="right")
+                edge[rows[among]] = (own[among] >= first) & (self.hashes[own[among]] == hashes[rows[among]])
+            at[rows] = own + len(self.of_nulls)
+        return at, edge
+
+
 def in_parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(i, t, part, ahead): rows sorted by id within parts of consecutive ids,
-    each part ending with the first rows of the next one (``ahead``); the last
-    part ends with the first rows of all."""
+    """(i, t, part, ahead): rows sorted by id and a hash of the text within
+    parts that follow each other in that order, so that one id over many rows is
+    split too. Each part ends with the first rows of the next one (``ahead``);
+    the last part ends with the first rows of all."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    ranges = rows.select("i").repartitionByRange(PARTS_PER_PARTITION * n, F.col("i").asc_nulls_first()) \
-        .groupBy(F.spark_partition_id().alias("p")) \
-        .agg(F.min("i").alias("i"), F.count_if(F.col("i").isNull()).alias("nulls"))
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.xxhash64(F.col(text_col)).alias("h"))
+    order = F.col("i").asc_nulls_first(), F.col("h")
+    ranges = rows.select("i", "h").repartitionByRange(PARTS_PER_PARTITION * n, *order) \
+        .groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("i", "h")).alias("least"))
     found = ranges.limit(MAX_PARTS + 1).collect()
     check_bound("parts", len(found), MAX_PARTS)
-    # A part begins with a bound; null ids are a part of their own, the first.
-    bounds = pa.array(sorted({r["i"] for r in found if r["i"] is not None}))
-    before = 1 if any(r["nulls"] for r in found) else 0
-    parts = max(1, len(bounds) + before)
+    bounds = Bounds(((r["least"]["i"], r["least"]["h"]) for r in found), to_arrow_type(rows.schema["i"].dataType))
     shared = spark.sparkContext.broadcast(bounds)
 
     @F.arrow_udf("part int, edge boolean")
-    def place(ids: pa.Array) -> pa.Array:
-        null = ids.is_null().to_numpy(zero_copy_only=False)
-        own = shared.value
-        if not len(own):
-            at, edge = np.zeros(len(ids), dtype=np.int64), null
-        else:
-            values, starts = (
-                x.to_numpy(zero_copy_only=False) for x in (ids.fill_null(pa.scalar(own[0].as_py(), ids.type)), own))
-            at = np.searchsorted(starts, values, side="right") - 1
-            edge = null | (starts[at] == values)
-        at = np.where(null, 0, at + before).astype(np.int32)
-        return pa.StructArray.from_arrays([pa.array(at), pa.array(edge)], names=["part", "edge"])
-
-    placed = rows.withColumn("at", place("i"))
+    def place(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        at, edge = shared.value.place(ids, hashes.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array(edge)], names=["part", "edge"])
+
+    placed = rows.withColumn("at", place("i", "h"))
     own = F.struct(F.col("at.part").alias("part"), F.lit(False).alias("ahead"))
-    ahead = F.struct(F.pmod(F.col("at.part") - 1, F.lit(parts)).alias("part"), F.lit(True).alias("ahead"))
-    return placed.select("i", "t", F.explode(F.when(F.col("at.edge"), F.array(own, ahead)).otherwise(F.array(own))).alias("at")) \
-        .select("i", "t", "at.part", "at.ahead").repartition(n, "part") \
-        .sortWithinPartitions("part", "ahead", F.col("i").asc_nulls_first(), F.xxhash64("t"))
+    ahead = F.struct(F.pmod(F.col("at.part") - 1, F.lit(bounds.parts)).alias("part"), F.lit(True).alias("ahead"))
+    return placed.select("i", "t", "h", F.explode(F.when(F.col("at.edge"), F.array(own, ahead)).otherwise(F.array(own)))
+                         .alias("at")) \
+        .select("i", "t", "h", "at.part", "at.ahead").repartition(n, "part") \
+        .sortWithinPartitions("part", "ahead", *order).select("i", "t", "part", "ahead")
 
 
 def edited(text: str, following: str) -> str:
