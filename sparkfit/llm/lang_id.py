@@ -10,7 +10,8 @@ length. The nearest language wins.
 Counting runs on Arrow batches inside tasks, all n-grams of a run of texts in
 one sorted array; Spark sums the counts by language and n-gram and keeps the
 top of each language. Profiles are languages x ``PROFILE`` rows, a checked
-bound, and go to the tasks with the function.
+bound (at most 300,000 entries, some 10 MB), and go to the tasks with the
+function. Texts of any length are counted whole.
 
 Results for special inputs: a text that is null or has no letter is ``und``
 with score 0, and so is every text if nothing was learned; equal distances go
@@ -31,12 +32,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfit.llm.common import check_bound, fresh, ship, slices_by_bytes
+from sparkfit.llm.common import check_bound, ship, slices_by_bytes
 
 PROFILE = 300               # n-grams of a profile, and of a document
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
+LEAST_SCORE = 0.2           # of a text in a learned language, by keep_known_languages
+MARGIN = 0.05               # by which another language must beat a text's label
+LEAST_LETTERS = 200         # of a text that may go by its score
 SLICE_BYTES = 1 << 19
+CELLS = 1 << 22             # texts x languages compared at once
 HELD_IN_TASK = 1 << 20      # summed n-grams that a counting task holds at once
 
 ABSENT = (1 << 21) - 1      # stands where an n-gram is shorter than three
@@ -121,46 +126,72 @@ def top_ranked(owner: np.ndarray, gram: np.ndarray, counts: np.ndarray, k: int)
 
 @dataclass
 class Profiles:
-    """Languages in order, and the rank of every profile n-gram in each."""
+    """Languages in order, and the places of every profile n-gram: entries
+    (language, rank) sorted by n-gram, those of n-gram i from ``first[i]`` on. At
+    most ``MAX_LANGUAGES`` x ``size`` entries."""
 
     languages: list[str]
     grams: np.ndarray       # sorted
-    ranks: np.ndarray       # n-grams x languages, ``size`` where a profile lacks one
+    first: np.ndarray
+    of_language: np.ndarray
+    ranks: np.ndarray
     size: int
 
     @classmethod
     def of(cls, rows: Iterable[tuple[str, int, int]], size: int) -> Profiles:
-        rows = list(rows)
+        rows = sorted(rows, key=lambda r: (r[1], r[0]))
         languages = sorted({r[0] for r in rows})
         column = {lang: i for i, lang in enumerate(languages)}
-        grams = np.unique(np.array([r[1] for r in rows], dtype=np.int64))
-        ranks = np.full((len(grams), len(languages)), size, dtype=np.int32)
-        for lang, gram, rank in rows:
-            ranks[np.searchsorted(grams, gram), column[lang]] = rank
-        return cls(languages, grams, ranks, size)
-
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        """(language, score) of each text; the score is 1 less the distance as
-        a part of the largest distance the text's n-grams could have."""
+        grams, first = np.unique(np.array([r[1] for r in rows], dtype=np.int64), return_index=True)
+        return cls(languages, grams, np.concatenate([first, [len(rows)]]).astype(np.int64),
+                   np.array([column[r[0]] for r in rows], dtype=np.int64),
+                   np.array([r[2] for r in rows], dtype=np.int64), size)
+
+    def likeness(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text x language, which texts have one, letters of each text): 1 less
+        the distance as a part of the largest distance the text's n-grams could
+        have."""
+        most = max(1, CELLS // max(1, len(self.languages)))
+        if len(texts) > most:
+            parts = [self.likeness(texts[a:a + most]) for a in range(0, len(texts), most)]
+            return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
         owner, gram, counts, letters = count_ngrams(texts, np.arange(len(texts)))
-        lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        near = np.zeros((len(texts), len(self.languages)))
         if not self.languages or not len(owner):
-            return lang, score
+            return near, np.zeros(len(texts), dtype=bool), letters
         owner, gram, rank = top_ranked(owner, gram, counts, self.size)
+        n = np.bincount(owner, minlength=len(texts))
         at = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
         known = self.grams[at] == gram
-        apart = np.where(known[:, None], np.abs(self.ranks[at] - rank[:, None].astype(np.int32)), self.size)
-        apart = np.where(self.ranks[at] == self.size, self.size, apart)
-        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        total = np.add.reduceat(apart.astype(np.int64), first, axis=0)
-        n = np.diff(np.concatenate([first, [len(owner)]]))
-        best = total.argmin(axis=1)
-        near = 1.0 - total[np.arange(len(first)), best] / (n * self.size)
-        for i, b, s in zip(owner[first].tolist(), best.tolist(), near.tolist(), strict=True):
-            if letters[i]:
-                lang[i], score[i] = self.languages[b], s
+        at, owner, rank = at[known], owner[known], rank[known]
+        # Every entry of a known n-gram brings its language nearer than a lacking one.
+        many = self.first[at + 1] - self.first[at]
+        entry = np.repeat(self.first[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        gain = self.size - np.abs(self.ranks[entry] - np.repeat(rank, many))
+        cell = np.repeat(owner, many) * len(self.languages) + self.of_language[entry]
+        near += np.bincount(cell, weights=gain, minlength=near.size).reshape(near.shape)
+        near /= np.maximum(n, 1)[:, None] * self.size
+        return near, (n > 0) & (letters > 0), letters
+
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+        """(language, score) of each text, the score being its likeness."""
+        near, known, _ = self.likeness(texts)
+        lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        for i in np.flatnonzero(known).tolist():
+            best = int(near[i].argmax())
+            lang[i], score[i] = self.languages[best], float(near[i, best])
         return lang, score
 
+    def judge(self, texts: list[str], labels: list[str | None]) -> tuple[list[str], list[float], list[float | None], list[int]]:
+        """(language, score, score of the label's language, letters) of each text."""
+        near, known, letters = self.likeness(texts)
+        column = {lang: i for i, lang in enumerate(self.languages)}
+        best = near.argmax(axis=1) if self.languages else None
+        lang = [self.languages[best[i]] if k else UNKNOWN for i, k in enumerate(known.tolist())]
+        score = [float(near[i, best[i]]) if k else 0.0 for i, k in enumerate(known.tolist())]
+        own = [float(near[i, column[x]]) if x in column else None for i, x in enumerate(labels)]
+        return lang, score, own, letters.tolist()
+
 
 def is_held_out(id_col: str = "doc_id") -> Column:
     """Remainder 2 of the crc32 of the id as text, by 4; false for a null id."""
@@ -220,8 +251,10 @@ def ngram_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
 def fit_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size: int = PROFILE) -> Profiles:
     """Profiles learned from every row that has a text and a language."""
     order = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
-    top = ngram_counts(docs, lang_col, text_col).withColumn("rank", F.row_number().over(order) - 1) \
-        .where(F.col("rank") < size).select("lang", "gram", "rank")
+    # Compared with the row number itself, which lets each task keep only its own
+    # ``size`` first rows of a language before they meet.
+    top = ngram_counts(docs, lang_col, text_col).withColumn("place", F.row_number().over(order)) \
+        .where(F.col("place") <= size).select("lang", "gram", (F.col("place") - 1).alias("rank"))
     rows = top.limit(MAX_LANGUAGES * size + 1).collect()
     check_bound("rows of all language profiles", len(rows), MAX_LANGUAGES * size)
     return Profiles.of(((r["lang"], r["gram"], r["rank"]) for r in rows), size)
@@ -252,11 +285,42 @@ def predict_languages(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id
     return rows.mapInArrow(run, schema).toDF(*carried, "lang_pred", "score")
 
 
-def keep_known_languages(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The rows whose language is known, with the columns of ``docs``: a text
-    that is null or has no letter goes. Nothing goes if nothing was learned."""
+def keep_known_languages(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str | None = "lang",
+                         languages: tuple[str, ...] | None = None, least_score: float = LEAST_SCORE,
+                         margin: float = MARGIN, least_letters: int = LEAST_LETTERS) -> DataFrame:
+    """The rows whose text is in a known language, with the columns of ``docs``.
+
+    A row goes if its text is null or has no letter; if ``languages`` are named
+    and its predicted one is none of them; and, where the text has
+    ``least_letters`` letters or more, which is what a ranking needs, if its
+    score is below ``least_score`` (a language that was not learned) or if its
+    label in ``lang_col`` is another language whose score is lower by more than
+    ``margin`` (a wrong label). A null or unlearned label, and ``lang_col``
+    None, contradict nothing. Nothing goes if nothing was learned."""
     if not profiles.languages:
         return docs
-    lang, score = fresh(docs, "lang_pred", "score")
-    found = predict_languages(docs, profiles, docs.columns[0], text_col, keep=docs.columns[1:])
-    return found.toDF(*docs.columns, lang, score).where(F.col(lang) != UNKNOWN).drop(lang, score)
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(profiles)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices_by_bytes(batch, "t", SLICE_BYTES):
+                labels = part.column(1).to_pylist()
+                lang, score, own, letters = shared.value.judge([t or "" for t in part.column(0).to_pylist()], labels)
+                stays = np.ones(part.num_rows, dtype=bool)
+                for i in range(part.num_rows):
+                    if lang[i] == UNKNOWN or (languages is not None and lang[i] not in languages):
+                        stays[i] = False
+                    elif letters[i] >= least_letters:
+                        wrong = own[i] is not None and lang[i] != labels[i] and score[i] - own[i] > margin
+                        stays[i] = score[i] >= least_score and not wrong
+                kept = part.filter(pa.array(stays))
+                yield pa.RecordBatch.from_arrays(kept.columns[2:], names=names)
+
+    # Columns travel by place, so their names cannot clash.
+    label = F.lit(None).cast("string") if lang_col is None else F.col(lang_col).cast("string")
+    rows = docs.select(F.col(text_col).alias("t"), label.alias("l"), *[F.col(c).alias(n) for n, c in zip(names, docs.columns, strict=True)])
+    schema = ", ".join(f"{n} {t}" for n, (_, t) in zip(names, docs.dtypes, strict=True))
+    return rows.mapInArrow(run, schema).toDF(*docs.columns)
