@@ -1,5 +1,6 @@
 """Operators beyond their queries: other patterns, repeated rows, forged marks, long sets."""
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sparkfit.llm import byte_bpe, chat, chunks, mixture, near_dedup, vocab
+from sparkfit.llm import byte_bpe, chat, chunks, exact_dedup, fingerprints, lang_id, mixture, near_dedup, vocab
 
 TEXTS = ["one.\ntwo, three.\n\n four", "a b  c\n d.", "", None, "x.\n" * 50, " lead", "tail ", "日本 語.\n", "can't, won't."]
 
@@ -94,3 +95,72 @@ def test_two_long_sets_are_moved_twice_at_most(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
     assert got == {0: 0, 1: 0, 2: 2}
+
+
+def test_exact_dedup_moves_no_text_to_find_company(spark, monkeypatch):
+    """No exchange carries a text, and bitmaps of any fill give the same groups."""
+    texts = [f"{i % 3000:05d}" + "x" * (i % 70) for i in range(9000)] + [f"alone {i}" + "y" * 100 for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sizes = Counter(texts)
+    for most in (exact_dedup.MOST_BITS, 1 << 15):
+        monkeypatch.setattr(exact_dedup, "MOST_BITS", most)
+        refined = exact_dedup.refine(docs)
+        plan = refined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan
+        read = {r["id"] for r in refined.where("full IS NOT NULL").collect()}
+        heads = Counter((len(t), t[:exact_dedup.PREFIX]) for t in texts)
+        company = {i for i, t in enumerate(texts) if heads[len(t), t[:exact_dedup.PREFIX]] > 1}
+        assert company <= read
+        if most > 1 << 15:
+            assert len(read) - len(company) < 0.1 * len(texts)
+        found = {r["doc_id"]: r["group_size"] for r in exact_dedup.exact_groups(docs).collect()}
+        assert found == {i: sizes[t] for i, t in enumerate(texts)}
+        left = [r["text"] for r in exact_dedup.drop_exact_duplicates(docs).collect()]
+        assert Counter(left) == Counter(set(texts))
+
+
+def test_fingerprints_split_one_repeated_id(spark):
+    """Rows of one id, and rows without id, are dealt over parts by their texts."""
+    rows = [(7, f"text {i} of many") for i in range(2000)] + [(None, f"no id {i}") for i in range(2000)] \
+        + [(i, "same") for i in (1, 9, 9, 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    per_part = Counter(r["part"] for r in fingerprints.in_parts(docs, "doc_id", "text").where("NOT ahead").collect())
+    assert len(per_part) >= 8 and max(per_part.values()) < 600
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order = sorted(hashed, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]))
+    want = Counter()
+    for own, after in zip(order, order[1:] + order[:1], strict=True):
+        edit = fingerprints.edited(own["text"], after["text"])
+        want[own["doc_id"], hashlib.sha256(edit.encode()).hexdigest()] += 1
+    found = fingerprints.edited_fingerprints(docs).collect()
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in found) == want
+
+
+def test_languages_go_by_prediction(spark):
+    """A mislabelled document goes, which a test for letters would keep; so do
+    texts unlike every language, and languages that are not wanted."""
+    english = "the house and the garden were there when they came back from the town with their father and mother " * 4
+    german = "das haus und der garten waren da als sie aus der stadt mit ihrem vater und der mutter nach hause kamen " * 4
+    other = "жил был старик со своею старухой у самого синего моря они жили в ветхой землянке ровно тридцать лет " * 4
+    rows = [(1, english, "en"), (2, german, "de"), (3, english[5:], "de"), (4, german[4:], "en"), (5, other, None),
+            (6, "the", "de"), (7, "12 !", "en"), (8, None, "en"), (9, english[9:], None), (10, english[9:], "xx")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    profiles = lang_id.fit_profiles(docs.where("doc_id <= 2"))
+
+    def kept(**options):
+        return sorted(r["doc_id"] for r in lang_id.keep_known_languages(docs, profiles, **options).collect())
+    assert kept() == [1, 2, 6, 9, 10]
+    assert kept(lang_col=None) == [1, 2, 3, 4, 6, 9, 10]
+    assert kept(languages=("de",)) == [2]
+    assert kept(least_letters=10 ** 6) == [1, 2, 3, 4, 5, 6, 9, 10]
+    assert kept(margin=1.0, least_score=0.0) == [1, 2, 3, 4, 5, 6, 9, 10]
+
+
+def test_profile_cut_keeps_the_first_of_each_task(spark):
+    plans = []
+    docs = spark.createDataFrame([(1, "some text", "en")], "doc_id bigint, text string, lang string")
+    collect = type(docs).collect
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(docs), "collect", lambda self: (plans.append(self._jdf.queryExecution().toString()), collect(self))[1])
+        lang_id.fit_profiles(docs)
+    assert "WindowGroupLimit" in plans[-1]
