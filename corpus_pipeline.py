@@ -15,6 +15,9 @@ from sparkfit.llm import byte_bpe, exact_dedup, lang_id, mixture, near_dedup
 from sparkfit.llm.common import documents
 from sparkfit.session import drop_table, write_table
 
+LANGUAGE_SCORE = 0.2
+LANGUAGE_MARGIN = 0.05
+LANGUAGE_LETTERS = 200
 NEAR_SHINGLE = 5
 NEAR_PERCENT = 80
 
@@ -24,9 +27,14 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; those without text or letters go.
-    The profiles are learned from the documents' own texts and labels."""
-    return lang_id.keep_known_languages(docs, lang_id.fit_profiles(docs))
+    """Documents whose text is in the language it is labelled with, or that has no
+    label and is in a learned one. Those without text or letters go; of texts
+    with ``LANGUAGE_LETTERS`` letters or more also those that score below
+    ``LANGUAGE_SCORE`` and those that another language fits better than the
+    label, by more than ``LANGUAGE_MARGIN``. The profiles are learned from the
+    documents' own texts and labels."""
+    return lang_id.keep_known_languages(docs, lang_id.fit_profiles(docs), least_score=LANGUAGE_SCORE,
+                                        margin=LANGUAGE_MARGIN, least_letters=LANGUAGE_LETTERS)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
