@@ -38,7 +38,8 @@ PROFILE = 300               # n-grams of a profile, and of a document
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
 LEAST_SCORE = 0.2           # of a text in a learned language, by keep_known_languages
-MARGIN = 0.05               # by which another language must beat a text's label
+MARGIN = 0.3                # by which another language must beat a text's label: what a text wholly
+                            # in that language has, and one that only quotes it has not
 LEAST_LETTERS = 200         # of a text that may go by its score
 SLICE_BYTES = 1 << 19
 CELLS = 1 << 22             # texts x languages compared at once
