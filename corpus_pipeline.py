@@ -16,7 +16,7 @@ from sparkfit.llm.common import documents
 from sparkfit.session import drop_table, write_table
 
 LANGUAGE_SCORE = 0.2
-LANGUAGE_MARGIN = 0.05
+LANGUAGE_MARGIN = 0.3
 LANGUAGE_LETTERS = 200
 NEAR_SHINGLE = 5
 NEAR_PERCENT = 80
