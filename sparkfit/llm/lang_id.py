@@ -303,13 +303,16 @@ def keep_known_languages(docs: DataFrame, profiles: Profiles, text_col: str = "t
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(profiles)
+    # Columns travel by place, so their names cannot clash, and the text once.
     names = [f"c{i}" for i in range(len(docs.columns))]
+    places = {c.lower(): i for i, c in enumerate(docs.columns)}
+    text_at, lang_at = places[text_col.lower()], None if lang_col is None else places[lang_col.lower()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices_by_bytes(batch, "t", SLICE_BYTES):
-                labels = part.column(1).to_pylist()
-                lang, score, own, letters = shared.value.judge([t or "" for t in part.column(0).to_pylist()], labels)
+            for part in slices_by_bytes(batch, names[text_at], SLICE_BYTES):
+                labels = [None] * part.num_rows if lang_at is None else part.column(lang_at).cast(pa.string()).to_pylist()
+                lang, score, own, letters = shared.value.judge([t or "" for t in part.column(text_at).to_pylist()], labels)
                 stays = np.ones(part.num_rows, dtype=bool)
                 for i in range(part.num_rows):
                     if lang[i] == UNKNOWN or (languages is not None and lang[i] not in languages):
@@ -317,11 +320,7 @@ def keep_known_languages(docs: DataFrame, profiles: Profiles, text_col: str = "t
                     elif letters[i] >= least_letters:
                         wrong = own[i] is not None and lang[i] != labels[i] and score[i] - own[i] > margin
                         stays[i] = score[i] >= least_score and not wrong
-                kept = part.filter(pa.array(stays))
-                yield pa.RecordBatch.from_arrays(kept.columns[2:], names=names)
+                yield part.filter(pa.array(stays))
 
-    # Columns travel by place, so their names cannot clash.
-    label = F.lit(None).cast("string") if lang_col is None else F.col(lang_col).cast("string")
-    rows = docs.select(F.col(text_col).alias("t"), label.alias("l"), *[F.col(c).alias(n) for n, c in zip(names, docs.columns, strict=True)])
     schema = ", ".join(f"{n} {t}" for n, (_, t) in zip(names, docs.dtypes, strict=True))
-    return rows.mapInArrow(run, schema).toDF(*docs.columns)
+    return docs.toDF(*names).mapInArrow(run, schema).toDF(*docs.columns)
