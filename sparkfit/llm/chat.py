@@ -8,7 +8,11 @@ are rendered as they are, never masked in, and are nobody's perspective.
 The rendering is in long form, one row per (conversation, perspective, turn) in
 turn order, so a conversation of any length stays spread over the cluster and
 no dialogue is collected into one task: the sample of a perspective is the
-concatenation of its rows. ``assemble`` does that for windows of turns.
+concatenation of its rows. ``assemble`` does that for windows of turns, and
+``dialogues`` for windows of messages: those of a conversation are numbered by
+ranges of (conversation, turn), so a part holds ``WINDOW_TURNS`` messages at most,
+however many of them share a turn number, and parts of a long conversation lie in
+many tasks. The parts of a perspective one after the other are its dialogue.
 
 Nothing that is said can forge a turn: in texts every ``<|`` becomes ``<\\|``, so
 that no mark begins there, and in names control characters, blanks and ``< > |``
@@ -17,8 +21,10 @@ become ``_``, so that a header is one line. Masks cover the texts as rendered.
 Results for special inputs: a null text is an empty message, marked as such; a
 null role is a participant named ``unknown``; a null turn comes first; a null
 conversation is a conversation of its own; repeated rows are each rendered; a
-conversation of context roles only has no perspective and so no rows; an empty
-table gives an empty result; other columns are ignored, whatever their names.
+conversation of context roles only has no perspective and so no rows; messages of
+one turn are ordered by speaker, then by the md5 of their text; a text of any length
+is rendered whole; an empty table gives an empty result; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkfit.operators.keys import row_positions
 from sparkfit.session import write_table
 
 CONTEXT_ROLES = ("system",)
@@ -45,6 +52,24 @@ def safe_name(name: Column) -> Column:
     return F.regexp_replace(name, NOT_IN_NAMES, "_")
 
 
+def numbered(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+             text_col: str = "text") -> DataFrame:
+    """(conv, place, role, text): the messages with their places in their
+    conversation, from 0."""
+    # Written, so that a message keeps its number; what is ranged has no texts.
+    said = write_table(conversations.select(
+        F.monotonically_increasing_id().alias("row_no"), F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
+        F.col(role_col).alias("role"), F.col(text_col).alias("text")), "chat-messages")
+    keys = said.select("conv", "turn", F.coalesce("role", F.lit(NOBODY)).alias("speaker"),
+                       F.md5(safe_text(F.coalesce("text", F.lit("")))).alias("digest"), "row_no")
+    placed = row_positions(keys, [F.col(c).asc_nulls_first() for c in ("conv", "turn", "speaker", "digest")], "at")
+    firsts = placed.groupBy("conv").agg(F.min("at").alias("first")).withColumnRenamed("conv", "own")
+    places = placed.join(firsts, F.col("conv").eqNullSafe(F.col("own"))) \
+        .select("row_no", (F.col("at") - F.col("first")).alias("place"))
+    return said.join(places, "row_no").select(F.col("conv").alias(conv_col), "place", F.col("role").alias(role_col),
+                                              F.col("text").alias(text_col))
+
+
 def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text", context_roles: tuple[str, ...] = CONTEXT_ROLES) -> DataFrame:
     """(conv, perspective, turn, speaker, role, rendered, mask_start, mask_end).
@@ -74,8 +99,8 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
 def assemble(rotated: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
              window: int = WINDOW_TURNS) -> DataFrame:
-    """(conv, perspective, part, dialogue, masks): the rows of ``window`` turn
-    numbers joined in turn order (ties by text), and the covered ranges of the
+    """(conv, perspective, part, n_turns, dialogue, masks): the rows of ``window``
+    turn numbers joined in turn order (ties by text), and the covered ranges of the
     joined text as an array of (start, end). A part holds at most as many rows
     as there are messages with ``window`` turn numbers."""
     rows = F.sort_array(F.collect_list(F.struct(turn_col, "rendered", "mask_start", "mask_end")))
@@ -87,6 +112,14 @@ def assemble(rotated: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
         F.when(r["mask_end"] > r["mask_start"], F.concat(s["masks"], F.array(F.struct(
             (s["at"] + r["mask_start"]).alias("start"), (s["at"] + r["mask_end"]).alias("end")))))
         .otherwise(s["masks"]).alias("masks")))
-    return parts.select(conv_col, "perspective", "part",
+    return parts.select(conv_col, "perspective", "part", F.size("rows").cast("bigint").alias("n_turns"),
                         F.array_join(F.transform("rows", lambda r: r["rendered"]), "").alias("dialogue"),
                         folded["masks"].alias("masks"))
+
+
+def dialogues(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+              text_col: str = "text", context_roles: tuple[str, ...] = CONTEXT_ROLES,
+              window: int = WINDOW_TURNS) -> DataFrame:
+    """What ``assemble`` gives, in parts of ``window`` messages."""
+    messages = numbered(conversations, conv_col, turn_col, role_col, text_col)
+    return assemble(rotate(messages, conv_col, "place", role_col, text_col, context_roles), conv_col, "place", window)

@@ -49,20 +49,31 @@ FROM marked GROUP BY doc_id
 
 OP9 = """
 WITH said AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '<\\|') AS body FROM conversations),
+  SELECT conv_id, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '<\\|') AS body, turn
+  FROM conversations),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, md5(body)) - 1 AS place FROM said),
 people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
 seen AS (
   SELECT s.*, p.perspective,
          CASE WHEN s.speaker = p.perspective THEN 'assistant' WHEN s.speaker = 'system' THEN 'system'
               ELSE 'user' END AS as_role
-  FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+  FROM placed s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
 headed AS (
   SELECT *, '<|im_start|>' || as_role || CASE WHEN as_role = 'user' THEN ' name=' || regexp_replace(speaker, '[\\x00-\\x20\\x7F<>|]', '_', 'g') ELSE '' END || chr(10) AS head
-  FROM seen)
-SELECT conv_id, perspective, turn, speaker, as_role AS role, head || body || '<|im_end|>' || chr(10) AS rendered,
-       length(head) AS mask_start,
-       CASE WHEN speaker = perspective THEN length(head) + length(body) + 11 ELSE length(head) END AS mask_end
-FROM headed
+  FROM seen),
+turns AS (
+  SELECT conv_id, perspective, place // 64 AS part, place, head || body || '<|im_end|>' || chr(10) AS rendered,
+         length(head) AS start_at, length(head) + length(body) + 11 AS end_at, speaker = perspective AS own
+  FROM headed),
+run AS (
+  SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, perspective, part ORDER BY place
+                                        ROWS UNBOUNDED PRECEDING) - length(rendered) AS before
+  FROM turns)
+SELECT conv_id, perspective, part, count(*) AS n_turns, string_agg(rendered, '' ORDER BY place) AS dialogue,
+       coalesce(string_agg((before + start_at)::VARCHAR || '-' || (before + end_at)::VARCHAR, ',' ORDER BY place)
+                FILTER (WHERE own), '') AS masks
+FROM run GROUP BY conv_id, perspective, part
 """
 
 _SIZED = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"

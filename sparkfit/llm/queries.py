@@ -73,7 +73,9 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rotate(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+    found = chat.dialogues(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+    ranges = F.transform("masks", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string")))
+    return found.withColumn("masks", F.array_join(ranges, ","))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

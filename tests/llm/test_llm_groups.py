@@ -1,5 +1,6 @@
 """Near dedup, components, mixing, chat rotation and the pipeline."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -107,6 +108,16 @@ def test_near_blocks_equal_all_pairs(spark, monkeypatch):
     assert by_repr(found.collect()) == by_repr(plain_near(rows, 4))
 
 
+def test_groups_join_and_tell_who_is_apart():
+    groups = near_dedup.Groups(6)
+    groups.join(np.array([4, 2, 5]))
+    groups.join(np.array([1, 3]))
+    assert groups.of.tolist() == [0, 1, 2, 1, 2, 2]
+    assert groups.apart(4, np.array([0, 2, 3, 5])).tolist() == [0, 3]
+    groups.join(np.array([5, 3]))
+    assert groups.of.tolist() == [0, 1, 1, 1, 1, 1]
+
+
 def test_near_edge_cases(spark):
     rows = [(i, t) for i, t, *_ in ROWS]
     found = near_dedup.near_duplicates(edge_documents(spark), shingle=4).drop("text_hash")
@@ -290,6 +301,29 @@ def test_assembled_dialogues_and_masks(spark):
     assert (5, "bob", 1) in parts and parts[5, "ann", 0]["dialogue"].count("twice") == 2
 
 
+@pytest.mark.parametrize("window", [2, 64])
+def test_dialogues_are_all_messages_in_order_and_bounded_parts(spark, window):
+    rows = CONVERSATIONS + [(6, 5, who, f"m{i}") for i in range(150) for who in ("ann", "bob")]
+    frame = spark.createDataFrame([(*r, "a", 1) for r in rows],
+                                  "conv_id bigint, turn bigint, role string, text string, conv string, row_no int")
+    found = chat.dialogues(frame.repartition(5), window=window).collect()
+    want = {}
+    for conv in {r[0] for r in rows}:
+        said = [(t is not None, t or 0, s or "unknown", hashlib.md5((x or "").encode()).hexdigest(), x or "")
+                for c, t, s, x in rows if c == conv]
+        for who in {s for _, _, s, _, _ in said if s != "system"}:
+            for i, (_, _, s, _, x) in enumerate(sorted(said)):
+                role = "assistant" if s == who else s if s == "system" else f"user name={s}"
+                want.setdefault((conv, who, i // window), []).append((f"<|im_start|>{role}\n", f"{x}<|im_end|>\n", s == who))
+    assert len(found) == len(want)
+    for r in found:
+        turns = want[r["conv_id"], r["perspective"], r["part"]]
+        assert r["n_turns"] == len(turns) <= window
+        assert r["dialogue"] == "".join(h + b for h, b, _ in turns)
+        assert [r["dialogue"][m["start"]:m["end"]] for m in r["masks"]] == [b for _, b, own in turns if own]
+    assert chat.dialogues(frame.limit(0)).collect() == []
+
+
 # --- pipeline
 
 def test_pipeline_stages_on_awkward_rows(spark):
