@@ -20,8 +20,9 @@ is at least a threshold; groups are the connected components.
 
 A pair at the threshold is missed with a probability below (1 - t^rows)^bands
 for the bands (6e-7 here) plus ``MISS`` for each batch. Similar pairs only cost
-comparisons: a cluster of g different texts is compared as g^2/2 signatures in
-blocks that Spark deals over the cluster.
+comparisons: a bucket is compared in blocks that Spark deals over the cluster, and
+in a block only members that don't hang together yet are compared, so that g texts
+that are all alike cost g signature comparisons a block and not g^2/2.
 
 Results for special inputs: a text without words (or null) has an empty set, is
 linked with nothing and stays; with fewer words than a shingle has, the whole
@@ -104,24 +105,19 @@ def features(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataF
     return rows.mapInArrow(run, f"id {id_type}, text_hash bigint, n bigint, cid binary, sig binary")
 
 
-class Forest:
+class Groups:
     """Components of the numbers 0..n-1, the smallest number naming each."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
+        self.of = np.arange(n)
 
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
+    def join(self, members: np.ndarray) -> None:
+        names = np.unique(self.of[members])
+        self.of[np.isin(self.of, names[1:])] = names[0]
 
-    def join(self, x: int, y: int) -> None:
-        x, y = self.find(x), self.find(y)
-        self.up[max(x, y)] = min(x, y)
-
-    def roots(self) -> np.ndarray:
-        return np.array([self.find(x) for x in range(len(self.up))])
+    def apart(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that aren't in the component of ``x``."""
+        return others[self.of[others] != self.of[x]]
 
 
 class Sequential:
@@ -161,9 +157,9 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(len(column), HASHES)
 
 
-def _members(work: np.ndarray, cids: list[bytes], forest: Forest) -> pa.RecordBatch | None:
+def _members(cids: list[bytes], groups: Groups) -> pa.RecordBatch | None:
     """(src, dst): each member that hangs together with another, and the first."""
-    roots = forest.roots()
+    roots = groups.of
     at = np.flatnonzero(roots != np.arange(len(roots)))
     if not len(at):
         return None
@@ -207,12 +203,13 @@ def candidate_edges(classes: DataFrame, threshold: float, miss: float) -> DataFr
         for group in runs_by_key(batches, 0):
             side = group.column(1).to_numpy()
             sigs = _signatures(group.column(3))
-            forest = Forest(len(side))
+            groups = Groups(len(side))
             for x in range(len(side)):
-                others = _others(side, x)
-                for y in others[test.survivors(sigs[x], sigs[others])].tolist():
-                    forest.join(x, y)
-            out = _members(side, group.column(2).to_pylist(), forest)
+                others = groups.apart(x, _others(side, x))
+                alike = others[test.survivors(sigs[x], sigs[others])]
+                if len(alike):
+                    groups.join(np.append(alike, x))
+            out = _members(group.column(2).to_pylist(), groups)
             if out is not None:
                 yield out
 
@@ -253,23 +250,20 @@ def verified_edges(clusters: DataFrame, sets: DataFrame, classes: DataFrame, per
             sigs = _signatures(group.column(3))
             sets = [np.frombuffer(s, dtype="<u8") for s in group.column(4).to_pylist()]
             n = np.array([len(s) for s in sets])
-            forest = Forest(len(side))
+            groups = Groups(len(side))
             for x in range(len(side)):
-                others = _others(side, x)
+                others = groups.apart(x, _others(side, x))
+                others = others[100 * np.minimum(n[x], n[others]) >= percent * np.maximum(n[x], n[others])]
                 others = others[test.survivors(sigs[x], sigs[others])]
-                if not len(others):
-                    continue
-                own = forest.find(x)
-                others = others[[forest.find(y) != own for y in others.tolist()]]
                 for y in others.tolist():
-                    if forest.find(y) == forest.find(x) or 100 * min(n[x], n[y]) < percent * max(n[x], n[y]):
+                    if groups.of[x] == groups.of[y]:
                         continue
                     small, large = (sets[x], sets[y]) if n[x] <= n[y] else (sets[y], sets[x])
                     at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                     both = int((large[at] == small).sum())
                     if 100 * both >= percent * int(n[x] + n[y] - both):
-                        forest.join(x, y)
-            out = _members(side, group.column(2).to_pylist(), forest)
+                        groups.join(np.array([x, y]))
+            out = _members(group.column(2).to_pylist(), groups)
             if out is not None:
                 yield out
 
