@@ -52,6 +52,34 @@ def safe_name(name: Column) -> Column:
     return F.regexp_replace(name, NOT_IN_NAMES, "_")
 
 
+def _header(speaker: Column, perspective: Column, context_roles: tuple[str, ...]) -> tuple[Column, Column, Column]:
+    """Whether the speaker is the perspective, the rendered role, and the header."""
+    own = speaker == perspective
+    role = F.when(own, F.lit("assistant")).when(speaker.isin(*context_roles), speaker).otherwise(F.lit("user"))
+    name = F.when(role == "user", F.concat(F.lit(" name="), safe_name(speaker))).otherwise(F.lit(""))
+    return own, role, F.concat(F.lit(OPEN), role, name, F.lit("\n"))
+
+
+def _people(said: DataFrame, context_roles: tuple[str, ...]) -> DataFrame:
+    """(of, perspective): the participants of each conversation. Written, so that
+    Spark can split the partitions of a join with a long conversation."""
+    return write_table(said.where(~F.col("speaker").isin(*context_roles))
+                       .select(F.col("conv").alias("of"), F.col("speaker").alias("perspective")).distinct(),
+                       "chat-people")
+
+
+def _joined(rows: Column) -> tuple[Column, Column]:
+    """The text of (rendered, mask_start, mask_end) rows one after the other, and
+    the ranges of it that they cover."""
+    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("masks"))
+    folded = F.aggregate(rows, state, lambda s, r: F.struct(
+        (s["at"] + F.char_length(r["rendered"])).alias("at"),
+        F.when(r["mask_end"] > r["mask_start"], F.concat(s["masks"], F.array(F.struct(
+            (s["at"] + r["mask_start"]).alias("start"), (s["at"] + r["mask_end"]).alias("end")))))
+        .otherwise(s["masks"]).alias("masks")))
+    return F.array_join(F.transform(rows, lambda r: r["rendered"]), ""), folded["masks"]
+
+
 def numbered(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
              text_col: str = "text") -> DataFrame:
     """(conv, place, role, text): the messages with their places in their
@@ -80,16 +108,9 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     said = conversations.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
         F.coalesce(role_col, F.lit(NOBODY)).alias("speaker"), safe_text(F.coalesce(text_col, F.lit(""))).alias("said"))
-    # Written, so that Spark can split the join's partitions of a long conversation.
-    people = write_table(said.where(~F.col("speaker").isin(*context_roles))
-                         .select(F.col("conv").alias("of"), F.col("speaker").alias("perspective")).distinct(),
-                         "chat-people")
+    people = _people(said, context_roles)
     seen = said.join(people, F.col("conv").eqNullSafe(F.col("of"))).drop("of")
-    own = F.col("speaker") == F.col("perspective")
-    role = F.when(own, F.lit("assistant")).when(F.col("speaker").isin(*context_roles), F.col("speaker")) \
-            .otherwise(F.lit("user"))
-    name = F.when(F.col("role") == "user", F.concat(F.lit(" name="), safe_name(F.col("speaker")))).otherwise(F.lit(""))
-    head = F.concat(F.lit(OPEN), F.col("role"), name, F.lit("\n"))
+    own, role, head = _header(F.col("speaker"), F.col("perspective"), context_roles)
     start = F.char_length("head").cast("bigint")
     return seen.withColumn("role", role).withColumn("head", head).select(
         F.col("conv").alias(conv_col), "perspective", F.col("turn").alias(turn_col), "speaker", "role",
@@ -106,20 +127,34 @@ def assemble(rotated: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     rows = F.sort_array(F.collect_list(F.struct(turn_col, "rendered", "mask_start", "mask_end")))
     parts = rotated.groupBy(conv_col, "perspective", F.floor(F.col(turn_col) / window).alias("part")) \
         .agg(rows.alias("rows"))
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("masks"))
-    folded = F.aggregate("rows", state, lambda s, r: F.struct(
-        (s["at"] + F.char_length(r["rendered"])).alias("at"),
-        F.when(r["mask_end"] > r["mask_start"], F.concat(s["masks"], F.array(F.struct(
-            (s["at"] + r["mask_start"]).alias("start"), (s["at"] + r["mask_end"]).alias("end")))))
-        .otherwise(s["masks"]).alias("masks")))
+    dialogue, masks = _joined(F.col("rows"))
     return parts.select(conv_col, "perspective", "part", F.size("rows").cast("bigint").alias("n_turns"),
-                        F.array_join(F.transform("rows", lambda r: r["rendered"]), "").alias("dialogue"),
-                        folded["masks"].alias("masks"))
+                        dialogue.alias("dialogue"), masks.alias("masks"))
 
 
 def dialogues(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
               text_col: str = "text", context_roles: tuple[str, ...] = CONTEXT_ROLES,
               window: int = WINDOW_TURNS) -> DataFrame:
-    """What ``assemble`` gives, in parts of ``window`` messages."""
+    """What ``assemble`` gives, in parts of ``window`` messages. Messages are
+    gathered once, by (conversation, part), and rendered for each perspective in
+    the row, so what is shuffled doesn't grow with the number of participants."""
     messages = numbered(conversations, conv_col, turn_col, role_col, text_col)
-    return assemble(rotate(messages, conv_col, "place", role_col, text_col, context_roles), conv_col, "place", window)
+    said = messages.select(F.col(conv_col).alias("conv"), "place", F.coalesce(role_col, F.lit(NOBODY)).alias("speaker"),
+                           safe_text(F.coalesce(text_col, F.lit(""))).alias("said"))
+    people = _people(conversations.select(F.col(conv_col).alias("conv"),
+                                          F.coalesce(role_col, F.lit(NOBODY)).alias("speaker")), context_roles)
+    parts = said.groupBy("conv", F.floor(F.col("place") / window).alias("part")) \
+        .agg(F.sort_array(F.collect_list(F.struct("place", "speaker", "said"))).alias("messages"))
+    seen = parts.join(people, F.col("conv").eqNullSafe(F.col("of")))
+
+    def render(m: Column) -> Column:
+        own, _, head = _header(m["speaker"], F.col("perspective"), context_roles)
+        start = F.char_length(head).cast("bigint")
+        end = F.when(own, start + F.char_length(m["said"]) + F.lit(len(CLOSE))).otherwise(start)
+        return F.struct(F.concat(head, m["said"], F.lit(CLOSE)).alias("rendered"), start.alias("mask_start"),
+                        end.alias("mask_end"))
+
+    dialogue, masks = _joined(F.col("rows"))
+    return seen.withColumn("rows", F.transform("messages", render)).select(
+        F.col("conv").alias(conv_col), "perspective", "part", F.size("rows").cast("bigint").alias("n_turns"),
+        dialogue.alias("dialogue"), masks.alias("masks"))
