@@ -60,6 +60,9 @@ def fit_svm(train: DataFrame, features: str = "features", label: str = "labels",
 
 
 def evaluate_svm(model: LinearSVCModel, test: DataFrame, label: str = "labels") -> DataFrame:
-    """One row: accuracy and label-weighted F1 of the model on ``test``."""
-    pred = model.transform(test)
+    """One row: accuracy and label-weighted F1 of the model on ``test``.
+
+    Rows are scored by a copy, which has no training summary: that holds the
+    session, which tasks can't get once it has had an ``Observation``."""
+    pred = model.copy().transform(test)
     return multiclass_metrics(pred, label=label, prediction="prediction")

@@ -8,7 +8,7 @@ another), and a line break inside a text stays if ``multi_line`` is set.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
@@ -83,10 +83,12 @@ def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False,
     """Read with names from the header and types from all values.
 
     A column is bigint if all of its values are whole numbers, double if all are
-    numbers, else string (as is one without values). The level of each column is
-    a maximum, observed by the job that writes the parsed texts as a table in the
-    shared folder; the result casts that table's columns, so the files aren't
-    scanned again for their types.
+    numbers, else string (as is one without values). The level of each value is
+    written beside the parsed texts, in a table in the shared folder, and a
+    column's is their maximum: neither the files nor the texts are scanned again
+    for their types, only these narrow columns. (An ``Observation`` would save
+    that, but a session that has had one can't be serialized any more, which MLlib
+    models with a training summary need.)
     """
     head = spark.read.options(**_FIELDS).option("header", True).option("nullValue", null_marker).csv(path)
     names = head.columns
@@ -95,9 +97,8 @@ def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False,
         rows = _parsed(csv_records(spark, path).where(~F.col("first")), texts, null_marker).select("row.*")
     else:
         rows = head.toDF(*texts.names)
-    seen = Observation("csv-types")
-    levels = [F.max(type_level(F.col(c))).alias(c) for c in texts.names]
-    table = write_table(rows.observe(seen, F.count("*").alias("n"), *levels), "csv-texts")
-    found = seen.get
+    levels = [type_level(F.col(c)).cast("byte").alias(f"level_{c}") for c in texts.names]
+    table = write_table(rows.select("*", *levels), "csv-texts")
+    found = table.agg(*[F.max(f"level_{c}").alias(c) for c in texts.names]).first()
     return table.select(*[F.trim(F.col(c)).cast(TYPES[found[c] or 0]).alias(name) if (found[c] or 0) in (1, 2)
                           else F.col(c).alias(name) for c, name in zip(texts.names, names, strict=True)])

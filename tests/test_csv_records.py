@@ -89,3 +89,15 @@ def test_inference_of_an_empty_file(spark, tmp_path):
     one_file(tmp_path / "a.csv", [])
     df = read_csv_inferred(spark, str(tmp_path), True)
     assert df.columns == ["id", "text"] and df.collect() == []
+
+
+def test_models_score_rows_after_an_inferred_read(spark, tmp_path):
+    """A session that reads inferred CSV still serializes, as a model's summary needs."""
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.linalg import Vectors
+    one_file(tmp_path / "a.csv", [(i, "t") for i in range(9)])
+    session = spark.newSession()
+    assert read_csv_inferred(session, str(tmp_path)).count() == 9
+    rows = session.createDataFrame([(Vectors.dense(float(i - 10)), float(i > 10)) for i in range(20)], ["features", "label"])
+    model = LinearSVC(maxIter=5).fit(rows)
+    assert model.transform(rows).count() == 20 and model.transform(rows).select("prediction").distinct().count() == 2

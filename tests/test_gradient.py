@@ -133,3 +133,14 @@ def test_svm_words_without_spread_get_no_weight(spark):
     assert w[0] == 0 and w[2] == 0 and w[1] > 0
     assert all(r["y"] == r["pred"] for r in gradient.predict_svm_rows(rows, fit).collect())
     rows.unpersist()
+
+
+def test_svm_scores_rows_of_a_session_with_an_observation(spark):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.sql import Observation
+    session, seen = spark.newSession(), Observation("rows")
+    session.range(7).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 7}
+    rows = session.createDataFrame([(Vectors.dense(float(i - 10)), float(i > 10)) for i in range(20)], ["features", "labels"])
+    found = svm.evaluate_svm(svm.fit_svm(rows, maxIter=20), rows).first()
+    assert found["n"] == 20 and found["accuracy"] >= 0.9
